@@ -3,7 +3,8 @@
 A layout such as ``"YearMonth:s revenue:2 lines:l"`` names the output columns and their types once
 for both engines: ``s`` text, ``i`` integer, ``l`` long, ``b`` boolean, ``t`` timestamp, ``d`` date,
 ``x`` double as is, and a digit for a double rounded to that many decimals. Sums of doubles depend
-on their order, so they are rounded at the very end, and only here.
+on their order, so they are rounded at the very end, and only here. Dates are shown as text, because
+result readers disagree on their type.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tillroll.session import pinned
 from tillroll.schema import TARGET
 from tillroll.sources.retail_view import retail_lines
 
-SPARK_TYPES = {"s": "string", "i": "int", "l": "bigint", "b": "boolean", "t": "timestamp_ntz", "d": "date", "x": "double"}
-SQL_TYPES = {"s": "VARCHAR", "i": "INTEGER", "l": "BIGINT", "b": "BOOLEAN", "t": "TIMESTAMP", "d": "DATE", "x": "DOUBLE"}
+SPARK_TYPES = {"s": "string", "i": "int", "l": "bigint", "b": "boolean", "t": "timestamp_ntz", "d": "string", "x": "double"}
+SQL_TYPES = {"s": "VARCHAR", "i": "INTEGER", "l": "BIGINT", "b": "BOOLEAN", "t": "TIMESTAMP", "d": "VARCHAR", "x": "DOUBLE"}
 
 
 class Tables:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillroll.sources.spread import spread
+
 # Key rules of the view.
 NULL_TEXT_EVERY = 97
 ZERO_QUANTITY_EVERY = 53
@@ -16,18 +18,22 @@ NEGATIVE_PRICE_EVERY = 499
 NULL_CUSTOMER_EVERY = 4
 DUPLICATE_EVERY = 101
 
+LINE_COLUMNS = "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_returnflag string"
+
 
 def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The view as a lazy plan. Join strategies are left to Catalyst, which knows the file sizes."""
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+    def table(name: str, columns: str) -> DataFrame:
+        # A stated schema reads no footer to plan the query.
+        return spark.read.schema(columns).parquet(f"{folder}/{name}.parquet")
 
-    lines = table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
-    orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = table("customer").select("c_custkey", "c_nationkey")
-    nations = table("nation").select("n_nationkey", "n_name")
-    parts = table("part").select("p_partkey", "p_name")
+    lines = table("lineitem", LINE_COLUMNS)
+    lines = spread(lines, "l_orderkey", "l_partkey")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    customers = table("customer", "c_custkey bigint, c_nationkey int")
+    nations = table("nation", "n_nationkey int, n_name string")
+    parts = table("part", "p_partkey bigint, p_name string")
 
     joined = (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
