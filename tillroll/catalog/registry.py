@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillroll.catalog.sql import PRELUDE
 from tillroll.operators import customers, prepare, scaling, segments
@@ -123,12 +123,11 @@ class Query:
         return f"{PRELUDE}\nSELECT {columns} FROM (\n{self.sql.strip()}\n) AS answer"
 
 
-def spark_column(name: str, kind: str) -> Column:
-    c = F.col(f"`{name}`")
+def spark_column(name: str, kind: str) -> str:
     if kind.isdigit():
-        rounded = F.round(c.cast("double"), int(kind))
-        return F.when(rounded == 0, F.lit(0.0)).otherwise(rounded).alias(name)
-    return c.cast(SPARK_TYPES[kind]).alias(name)
+        value = f"round(double(`{name}`), {kind})"
+        return f"CASE WHEN {value} = 0 THEN 0D ELSE {value} END AS `{name}`"
+    return f"CAST(`{name}` AS {SPARK_TYPES[kind]}) AS `{name}`"
 
 
 def sql_column(name: str, kind: str) -> str:
@@ -139,7 +138,7 @@ def sql_column(name: str, kind: str) -> str:
 
 
 def arranged(df: DataFrame, layout: str) -> DataFrame:
-    return df.select(*[spark_column(*item.split(":")) for item in layout.split()])
+    return df.selectExpr(*[spark_column(*item.split(":")) for item in layout.split()])
 
 
 QUERIES: dict[str, Query] = {}

@@ -80,11 +80,6 @@ def percent(part: Column, whole: Column) -> Column:
     return safe_divide(part, whole) * 100
 
 
-def linear_rank(p: float, n: Column) -> Column:
-    """Zero-based fractional position of quantile ``p`` among ``n`` sorted values."""
-    return F.lit(float(p)) * (n - 1)
-
-
 def hash_key(seed: int, *parts: str | Column) -> Column:
     """Repeatable pseudo-random order: 32 hex digits of the row's key and a seed."""
     texts = [F.coalesce(col(p).cast("string"), F.lit("")) for p in parts]

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillroll.functions.columns import hash_key, linear_rank
+from tillroll.functions.columns import hash_key
 from tillroll.session import pinned
 
 ACCURACY = 100_000
@@ -52,15 +52,11 @@ def rank_cells(
         placed = long.select(x.alias("x"), edges.select(F.struct("starts", "ends")).scalar().alias("e"))
         placed = placed.select("x", "e.starts", "e.ends")
 
-    start = [F.col("starts")[i] for i in range(len(starts))]
-    end = [F.col("ends")[i] for i in range(len(ends))]
-    inside = F.lit(False)
-    zone = F.lit(0)
-    for s, e in zip(start, end):
-        inside = inside | F.col("x").between(s, e)
-        zone = zone + (F.col("x") > e).cast("int")
+    # Texts instead of column objects: the driver builds dozens of these terms in one call each.
+    inside = " OR ".join(f"x BETWEEN starts[{i}] AND ends[{i}]" for i in range(len(starts)))
+    zone = " + ".join(f"int(x > ends[{i}])" for i in range(len(ends)))
     cells = (
-        placed.select(*by, "x", zone.alias("zone"), F.when(inside, F.col("x")).alias("kept"))
+        placed.select(*by, "x", F.expr(zone).alias("zone"), F.expr(f"CASE WHEN {inside} THEN x END").alias("kept"))
         .groupBy(*by, "zone", "kept")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
     )
@@ -76,16 +72,11 @@ def rank_cells(
     )
 
 
-def value_at(rank: Column) -> Column:
-    """Aggregate over cells: the value at a zero-based rank, or an error if a cell hides it."""
-    covers = (F.col("first_rank") <= rank) & (rank <= F.col("last_rank"))
-    value = (
-        F.when(rank == F.col("first_rank"), F.col("low"))
-        .when(rank == F.col("last_rank"), F.col("high"))
-        .when(F.col("low") == F.col("high"), F.col("low"))
-        .otherwise(F.raise_error(F.lit("rank outside its bracket: raise the accuracy")).cast("double"))
-    )
-    return F.max(F.when(covers, value))
+def value_at(rank: str) -> str:
+    """SQL aggregate over cells: the value at a zero-based rank, or an error if a cell hides it."""
+    return f"""max(CASE WHEN {rank} BETWEEN first_rank AND last_rank THEN
+        CASE WHEN {rank} = first_rank THEN low WHEN {rank} = last_rank THEN high WHEN low = high THEN low
+             ELSE double(raise_error('rank outside its bracket: raise the accuracy')) END END)"""
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), positive: bool = False) -> DataFrame:
@@ -112,13 +103,12 @@ def quantiles(
         sketch = [F.percentile_approx(value, p, accuracy).alias(name) for name, p in probs.items()]
         return long.groupBy(*by).agg(*sketch)
     cells = rank_cells(long, by, list(probs.values()), value, accuracy)
-    n = F.col("n")
     wanted = []
     for name, p in probs.items():
-        position = linear_rank(p, n)
-        low, high = value_at(F.floor(position)), value_at(F.ceil(position))
-        weight = F.max(position - F.floor(position))
-        wanted.append((low + (high - low) * weight).alias(name))
+        position = f"(double({p!r}) * (n - 1))"
+        low, high = value_at(f"floor({position})"), value_at(f"ceil({position})")
+        weight = f"max({position} - floor({position}))"
+        wanted.append(F.expr(f"{low} + ({high} - {low}) * {weight}").alias(name))
     return cells.groupBy(*by).agg(*wanted)
 
 

@@ -105,13 +105,12 @@ def temporal_split(df: DataFrame, column: str = "InvoiceDate", quantile: float =
     """
     micros = df.filter(F.col(column).isNotNull()).select(F.unix_micros(column).alias("value")).distinct()
     cells = rank_cells(micros, [], [0.0, quantile, 1.0])
-    n = F.col("n")
-    index = F.greatest(F.lit(0), F.least(F.floor(F.lit(quantile) * n), n - 1))
+    index = f"greatest(0, least(floor(double({quantile!r}) * n), n - 1))"
     picked = cells.agg(
-        F.max(n).alias("n_dates"),
+        F.max("n").alias("n_dates"),
         F.min("low").alias("first"),
         F.max("high").alias("last"),
-        value_at(index).cast("long").alias("cut"),
+        F.expr(value_at(index)).cast("long").alias("cut"),
     )
     spread = (F.col("first") + (F.col("last") - F.col("first")) * F.lit(quantile)).cast("long")
     cut = F.when(F.col("cut") <= F.col("first"), spread).otherwise(F.col("cut"))
