@@ -46,9 +46,9 @@ def test_time_parts(spark):
 
 
 def test_coercion_turns_bad_values_into_null(spark):
-    df = spark.createDataFrame([("1", "2011-02-01 10:00", " a\t"), ("x", "bad-date", None), (None, None, "b\n")], "a string, d string, s string")
+    df = spark.createDataFrame([("1", "2011-02-01 10:00", " a\t"), ("x", "bad-date", None), (None, "1/3/2011 8:05", "b\n")], "a string, d string, s string")
     assert [r.a for r in prepare.ensure_numeric(df, ["a", "absent"]).collect()] == [1.0, None, None]
-    assert [r.d for r in prepare.ensure_datetime(df, ["d"]).collect()] == [datetime(2011, 2, 1, 10), None, None]
+    assert [r.d for r in prepare.ensure_datetime(df, ["d"]).collect()] == [datetime(2011, 2, 1, 10), None, datetime(2011, 1, 3, 8, 5)]
     assert [r.s for r in prepare.ensure_string(df, ["s"]).collect()] == ["a", None, "b"]
 
 

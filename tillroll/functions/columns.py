@@ -8,14 +8,8 @@ from tillroll.schema import CANCEL_PREFIX
 
 MICROS_PER_DAY = 86_400_000_000
 
-# Text layouts accepted for timestamps, tried in this order.
-TIMESTAMP_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-]
+# Text layouts accepted for timestamps besides the ISO forms (month before day).
+TIMESTAMP_FORMATS = ["M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy"]
 
 
 def col(c: str | Column) -> Column:
@@ -36,9 +30,9 @@ def number(df: DataFrame, name: str) -> Column:
 
 
 def to_time(c: str | Column) -> Column:
-    """Timestamp or null, from a timestamp column or from text in one of the known layouts."""
+    """Timestamp or null, from text in an ISO form or one of the known layouts."""
     text = col(c).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS])
+    return F.coalesce(text.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(f)) for f in TIMESTAMP_FORMATS])
 
 
 def stripped(c: str | Column) -> Column:

@@ -53,14 +53,16 @@ def rfm_means(table: DataFrame) -> DataFrame:
     return table.agg(*[F.avg(c).alias(c) for c in RFM_COLUMNS])
 
 
-def common_value(column: str) -> Column:
-    """Aggregate: most frequent non-null value, the smallest among ties, null if there is none."""
-    return F.mode(column, True)
-
-
 def customer_mode(df: DataFrame, column: str = "Country") -> DataFrame:
+    """Each customer's most frequent non-null value, the smallest among ties, null if there is none.
+
+    Values are counted before customers are: a customer with most of the lines shrinks to one row
+    per value on the map side, where a mode aggregate would keep a growing buffer per customer.
+    """
     known = df.filter(F.col("CustomerID").isNotNull())
-    return known.groupBy("CustomerID").agg(common_value(column).alias(column))
+    counts = known.groupBy("CustomerID", column).agg(F.count(column).alias("n"))
+    first = F.min_by(F.col(column), F.struct(-F.col("n"), F.col(column)))
+    return counts.groupBy("CustomerID").agg(first.alias(column))
 
 
 def customer_features(
@@ -85,9 +87,9 @@ def customer_features(
         F.count_distinct("StockCode").alias("UniqueProducts"),
         F.avg(quantity).alias("AvgQuantity"),
         F.coalesce(F.sum(quantity), F.lit(0)).alias("TotalQuantity"),
-        common_value("Country").alias("Country"),
     )
-    table = table.withColumns(
+    # Both sides are aggregates by customer and so already partitioned alike.
+    table = table.join(customer_mode(past), "CustomerID").withColumns(
         {
             "AOV": safe_divide(F.col("Monetary"), F.col("Frequency")),
             "PurchaseFrequency": safe_divide(F.col("Frequency"), days),

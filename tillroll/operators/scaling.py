@@ -68,8 +68,9 @@ def levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str
 def encode_label(df: DataFrame, columns: Sequence[str], exclude_ids: bool = True) -> DataFrame:
     """Add ``<column>_Encoded``: zero-based code of the value in sorted order.
 
-    Codes are numbered over the distinct values and joined back, so any number of levels works; a
-    small code table is broadcast by Spark's own size check.
+    Codes are numbered over the distinct values and joined back. A code table of at most
+    ``MAX_LEVELS`` rows is broadcast, so a value that fills much of the table moves no rows; a larger
+    one is joined by shuffle, where AQE splits the values that are too frequent for one task.
     """
     from tillroll.functions.ranks import running_totals
 
@@ -79,6 +80,8 @@ def encode_label(df: DataFrame, columns: Sequence[str], exclude_ids: bool = True
         distinct = df.select(text.alias("_level")).distinct()
         codes = running_totals(distinct, [F.asc("_level")], {"_place": F.lit(1)})
         codes = codes.select("_level", (F.col("_place") - 1).cast("int").alias(f"{c}_Encoded"))
+        if codes.limit(MAX_LEVELS + 1).count() <= MAX_LEVELS:
+            codes = F.broadcast(codes)
         out = out.withColumn("_text", text).join(codes, F.col("_text") == F.col("_level"), "left")
         out = out.drop("_text", "_level")
     return out
