@@ -42,25 +42,25 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spearman(df: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
     """Rank correlation of every pair of columns, over rows where all of them have a value.
 
-    Ranks are computed once per distinct value and joined to distinct value pairs, so repeated
-    values cost one row each and no rank ever needs a single sorted stream.
+    Ranks are computed once per distinct value and joined to the distinct rows, so repeated values
+    cost one row each, no rank needs a single sorted stream, and one pass answers all pairs.
     """
     names = present(df, columns)
     values = df.select(*[number(df, c).cast("double").alias(c) for c in names]).dropna()
-    ranks = average_ranks(values, names)
     middle = (values.agg(F.count(F.lit(1))).scalar() + 1) / 2
-    ranks = ranks.withColumn("rank", F.col("rank") - middle)
-    out = None
-    for a, b in combinations(names, 2):
-        pairs = values.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("w"))
-        ra = ranks.filter(F.col("column") == a).select(F.col("value").alias("a"), F.col("rank").alias("ra"))
-        rb = ranks.filter(F.col("column") == b).select(F.col("value").alias("b"), F.col("rank").alias("rb"))
-        w, x, y = F.col("w"), F.col("ra"), F.col("rb")
-        rho = F.sum(w * x * y) / F.sqrt(F.sum(w * x * x) * F.sum(w * y * y))
-        one = pairs.join(ra, "a").join(rb, "b").agg(rho.alias("correlation"))
-        one = one.select(F.lit(a).alias("col1"), F.lit(b).alias("col2"), "correlation")
-        out = one if out is None else out.unionByName(one)
-    return out
+    ranks = average_ranks(values, names).withColumn("rank", F.col("rank") - middle)
+    ranked = values.groupBy(*names).agg(F.count(F.lit(1)).alias("w"))
+    for c in names:
+        mine = ranks.filter(F.col("column") == c)
+        ranked = ranked.join(mine.select(F.col("value").alias(c), F.col("rank").alias(f"rank_{c}")), c)
+
+    def total(a: str, b: str) -> str:
+        return f"sum(w * `rank_{a}` * `rank_{b}`)"
+
+    pairs = list(combinations(names, 2))
+    sums = [F.expr(f"{total(a, b)} / sqrt({total(a, a)} * {total(b, b)})").alias(f"{a}~{b}") for a, b in pairs]
+    rows = [{"col1": F.lit(a), "col2": F.lit(b), "correlation": F.col(f"`{a}~{b}`")} for a, b in pairs]
+    return records(ranked.agg(*sums), rows)
 
 
 def positive_pairs(df: DataFrame, x: str, y: str) -> DataFrame:
