@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe_rows, packing, sharding, token_files, topk
+from tillroll.llm import bpe_rows, html_text, line_rules, neardup, packing, quality, sharding, token_files, topk, toxicity
 from tillroll.llm.shared import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_rows.digest(table(spark, sf_dir, "documents"), tokenizer_path("words"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -28,13 +32,29 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.grouped(table(spark, sf_dir, "documents"), width=2)
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("words"))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_token_files, op2_bpe, op4_sharding, op5_topk, op10_packing)
+    for f in (op1_token_files, op2_bpe, op3_quality, op4_sharding, op5_topk, op6_minhash, op7_html_text, op8_toxicity, op9_line_rules, op10_packing)
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_topk": topk.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_topk": topk.SQL, "op6_minhash": neardup.SQL}

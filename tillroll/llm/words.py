@@ -29,7 +29,7 @@ def powers(n: int) -> np.ndarray:
     if n > 1 << 24:  # a very long text: not worth keeping
         return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, BASE)]), dtype=np.uint64)
     while len(_powers) < n:
-        _powers = np.concatenate([_powers, _powers * (_powers[-1] * BASE)])
+        _powers = np.concatenate([_powers, _powers * np.uint64(pow(int(BASE), len(_powers), 1 << 64))])
     return _powers[:n]
 
 
@@ -53,7 +53,7 @@ class Sums:
         n = len(self.total) - 1
         raw = (self.total[ends] - self.total[starts]) * self.power[n - starts]
         # the power left over depends on n only; taking it out makes hashes equal across parts
-        raw *= _inverse_power(n)
+        raw = raw * _inverse_power(n)
         return mixed(raw ^ ((ends - starts).astype(np.uint64) * STEP))
 
 
