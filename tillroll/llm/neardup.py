@@ -7,10 +7,11 @@ hashes ROWS_A_BAND coordinates drawn from all of them; documents that share a ba
 
 Links are confirmed on whole shingle sets (as sorted 64-bit hashes). Documents with equal sets form one
 class with its smallest id as representative, found by grouping on a fingerprint of the set, so
-copies never meet in a bucket. Representatives are then compared in two waves. First each with one
-hub, the smallest id of the bucket they share most often; components of these links are computed.
-Then, in buckets that still hold several components, every pair of different components that a
-link could join. Pairs inside one component need no look, as they change no component.
+copies never meet in a bucket. Representatives are then compared in three waves, with components of
+the links so far between them: each with one hub, the smallest id of the buckets it shares most often;
+each that is outside the largest component of a bucket with one member of it; and last all pairs of
+different components in a cluster (representatives joined by buckets) that exact prefix and
+positional filters let through. Pairs inside one component need no look, as they change nothing.
 
 No text or blank text: an empty set, linked with nothing. Fewer words than a shingle has: the whole
 sequence is the one shingle. Rows without id are linked with nothing and have no component; rows that
@@ -182,17 +183,51 @@ def hub_pairs(crowded: DataFrame, hubs: DataFrame) -> DataFrame:
     return best.select(F.col("rep").alias("a"), (-F.col("best.less")).alias("b"))
 
 
-def open_pairs(crowded: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components whose sizes allow a link."""
+def delegate_pairs(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """Each representative outside its bucket's largest component with one member of that component."""
     named = crowded.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    groups = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = groups.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("groups"))
-    rows = named.join(mixed.filter("groups > 1").drop("groups"), "key")
-    left = rows.filter("component <> main").select("key", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    right = rows.select("key", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), "main")
-    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    groups = named.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key", "rep").alias("by"), "rep")).alias("one"))
+    main = groups.groupBy("key").agg(F.max(F.struct("n", "component", "one")).alias("main"), F.count("*").alias("groups")).filter("groups > 1")
+    pairs = named.join(main.select("key", "main.component", "main.one.rep").toDF("key", "main", "other"), "key").filter("component <> main")
+    return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def open_pairs(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one cluster in different components that a link could join, by exact filters.
+
+    Shingles are ordered by how few members of the cluster have them. Similar sets share one of the
+    first shingles of each (prefix filter), and from the first shared one on must have enough left
+    (positional filter). A document with too many shingles of its own thus meets no other.
+    """
+    named = clusters.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = named.groupBy("cluster").agg(F.min("component").alias("c_1"), F.max("component").alias("c_2"), F.count("*").alias("members"))
+    # the only pair of a cluster of two has been looked at
+    rows = kept(named.join(mixed.filter("c_1 <> c_2 and members > 2").select("cluster"), "cluster"), "mixed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = pa.array([np.frombuffer(s, np.int64) for s in batch["shingles"].to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["cluster"], batch["rep"], lists], ["cluster", "rep", "shingles"])
+
+    listed = rows.select("cluster", "rep").join(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep", "shingles"]), "rep")
+    single = listed.select("cluster", "rep", "shingles").mapInArrow(run, "cluster long, rep long, shingles array<long>")
+    single = single.select("cluster", "rep", F.explode("shingles").alias("shingle"))
+    common = single.groupBy("cluster", "shingle").agg(F.count("*").alias("df"))
+    ordered = single.join(common, ["cluster", "shingle"]).groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("all"))
+    n = F.size("all")
+    length = n - F.ceil(n * F.lit(percent) / 100) + 1
+    first = ordered.select("rep", n.alias("n"), F.posexplode(F.slice("all", 1, length)).alias("at", "one")).filter("one.df > 1")
+    first = kept(first.select("rep", "n", (F.col("n") - F.col("at")).alias("left"), F.col("one.shingle").alias("shingle")).join(rows, "rep"), "prefixes")
+
+    main = rows.groupBy("cluster", "component").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    first = first.join(main, "cluster")
+    one = first.filter("component <> main").select("cluster", "shingle", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"), F.col("component").alias("c_a"))
+    other = first.select("cluster", "shingle", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("left").alias("left_b"), F.col("component").alias("c_b"), "main")
     once = (F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    pairs = left.join(right, "key").filter((F.col("c_a") != F.col("c_b")) & fits & once)
+    fits = (F.col("c_a") != F.col("c_b")) & once
+    fits &= 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    fits &= (100 + percent) * F.least("left_a", "left_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = one.join(other, ["cluster", "shingle"]).filter(fits)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -208,9 +243,12 @@ def grouped(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sets = kept(set_table(texts.join(crowded.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), width), "sets")
 
-    first = kept(confirmed(hub_pairs(crowded, hubs), sets, percent), "links")
-    between = kept(confirmed(open_pairs(crowded, components(first), percent), sets, percent), "links")
-    found = components(first.union(between))
+    stars = kept(crowded.join(hubs, "key").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    clusters = components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    links = kept(confirmed(hub_pairs(crowded, hubs), sets, percent), "links")
+    links = kept(links.union(confirmed(delegate_pairs(crowded, components(links)), sets, percent)), "links")
+    links = links.union(kept(confirmed(open_pairs(clusters, components(links), sets, percent), sets, percent), "links"))
+    found = components(links)
 
     named = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select(*same, F.coalesce("component", "rep").alias("component_id"))
