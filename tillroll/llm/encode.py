@@ -13,6 +13,8 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+
 # The code points of the Unicode property White_Space.
 WHITE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 WHITE = "".join(map(chr, WHITE_POINTS))
@@ -21,6 +23,7 @@ WORD = re.compile(f"[^{WHITE}]+")
 
 # Most pieces remembered at a time by one worker; beyond it the memory starts afresh.
 MEMORY = 600_000
+RUN = 500  # new pieces in one text for the library
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -39,6 +42,9 @@ class Encoder:
             raise ValueError("ids need more than 16 bits")
         drops_white = not self.tokenizer.encode(" \n", add_special_tokens=False).ids
         self.cut = (WORD if drops_white else PIECE).findall
+        # A sign that always makes one id of its own between two pieces.
+        self.between, self.sign = (" \x01 ", "\x01") if drops_white else ("\n", "\n")
+        [self.between_id] = self.tokenizer.encode(self.between, add_special_tokens=False).ids
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
@@ -46,6 +52,18 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("H", x.ids).tobytes() for x in found]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces: many in one text for the library, told apart by the id between them."""
+        odd = [p for p in pieces if self.sign in p or p.isspace()]
+        self.known.update(zip(odd, self._library(odd)))
+        pieces = [p for p in pieces if p not in self.known] if odd else pieces
+        joined = [pieces[i : i + RUN] for i in range(0, len(pieces), RUN)]
+        for at in range(0, len(joined), 16):
+            runs = joined[at : at + 16]
+            for run, raw in zip(runs, self._library([self.between.join(r) for r in runs])):
+                cuts = (2 * np.flatnonzero(np.frombuffer(raw, "<u2") == self.between_id)).tolist()
+                self.known.update(zip(run, [raw[a:b] for a, b in zip([0, *[c + 2 for c in cuts]], [*cuts, len(raw)])]))
+
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, in order; null counts as empty."""
         cut, whole, fresh = [], {}, set()
@@ -61,10 +79,7 @@ class Encoder:
                 cut.append(self.cut(text))
                 fresh.update(cut[-1])
         fresh.difference_update(self.known)
-        fresh = list(fresh)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            self.known.update(zip(part, self._library(part)))
+        self._learn(list(fresh))
         known = self.known.__getitem__
         for at, pieces in enumerate(cut):
             yield whole[at] if at in whole else b"".join(map(known, pieces))
