@@ -193,7 +193,7 @@ def test_profiles_and_texts(spark):
     assert (facts.clusters, facts.top_cluster, facts.bottom_cluster) == (3, 2, 0)
     advice = narrative.recommendations(narrative.recommendation_facts(profiles))
     assert len(advice) >= 5 and len(set(advice)) == len(advice)
-    assert len(narrative.recommendations(None)) == 5
+    assert narrative.recommendations(None) == []
     quality = {"silhouette_score": 0.5, "calinski_harabasz_score": 10.0, "davies_bouldin_score": 0.4}
     assert "Cluster 2 brings most revenue" in narrative.segment_summary(quality, profiles)
     models = narrative.model_facts(spark, "Random Forest", {"roc_auc": 0.72, "f1": 0.6}, 3, quality, [("a", 0.4), ("b", 0.2)], 0.7)
@@ -241,3 +241,15 @@ def test_perceptrons(matrix, blobs):
     assert 0 <= got.roc_auc <= 1
     net = classifiers.vector_mlp(blobs, 3, n_classes=3, hidden=(6,), max_iter=60)
     assert net.transform(blobs).filter("prediction = label").count() >= 43
+
+
+def test_feature_vectors_use_the_population_deviation(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+    from tillroll.operators import scaling
+
+    rows = spark.createDataFrame([(float(v), "A") for v in (1, 2, 3, 4, 5)], "x double, c string")
+    stages = scaling.feature_pipeline(["x"], ["c"]).fit(rows)
+    first = stages.transform(rows).select(vector_to_array("features")[0].alias("z"))
+    mean, deviation = first.agg(F.avg("z"), F.stddev_pop("z")).first()
+    assert abs(mean) < 1e-12 and abs(deviation - 1) < 1e-12

@@ -126,3 +126,12 @@ def test_correlations(sold):
     line = relations.regression_line(clipped, "Quantity", "TotalAmount").first()
     slope, intercept = np.polyfit(keep.Quantity, keep.TotalAmount, 1)
     assert line.n == len(keep) and line.slope == pytest.approx(slope) and line.intercept == pytest.approx(intercept)
+
+
+def test_scatter_sample_draws_copies_like_other_rows(spark):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN 1.0 ELSE CAST(id AS DOUBLE) + 2 END AS x", "CASE WHEN id % 2 = 0 THEN 1.0 ELSE 5.0 END AS y")
+    for seed in (42, 43, 44):
+        got = relations.scatter_sample(rows, "x", "y", 1000, seed)
+        assert got.count() == 1000
+        assert 420 < got.filter("x = 1").count() < 580
+    assert relations.scatter_sample(rows, "x", "y").count() == 20_000

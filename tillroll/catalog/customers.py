@@ -9,7 +9,7 @@ from tillroll.catalog.sql import TEN, TWO, class_scores, confusion
 from tillroll.operators import classifiers, customers, narrative, scaling, scores, segments, vectors
 from tillroll.operators.prepare import before, instant
 from tillroll.plans import segmentation
-from tillroll.schema import RFM_COLUMNS, TARGET
+from tillroll.schema import NUMERIC_FEATURES, RFM_COLUMNS, TARGET
 from tillroll.session import pinned
 
 SCALED = segmentation.SCALED
@@ -212,7 +212,17 @@ def stratified_folds(t):
     return scaling.stratified_folds(pinned(t.matrix.select("CustomerID", TARGET)), TARGET)
 
 
-@query("feature_vectors", "CustomerID:l size:i filled:i total:4")
+_Z = {c: f'coalesce((CAST("{c}" AS DOUBLE) - avg("{c}") OVER ()) / nullif(stddev_pop("{c}") OVER (), 0), 0)' for c in NUMERIC_FEATURES}
+
+
+@query(
+    "feature_vectors",
+    "CustomerID:l size:i filled:i total:4",
+    f"""SELECT CustomerID, {len(_Z)} + (SELECT count(DISTINCT "Country") FROM t_features) AS size,
+               1 + {" + ".join(f"CASE WHEN {z} <> 0 THEN 1 ELSE 0 END" for z in _Z.values())} AS filled,
+               1 + {" + ".join(_Z.values())} AS total
+        FROM t_features""",
+)
 def feature_vectors(t):
     """The prepared feature vector of each customer, with its length and number of non-zero entries."""
     from pyspark.ml.functions import vector_to_array
@@ -582,16 +592,16 @@ def _points(t):
 
 @query("kmeans_sweep")
 def kmeans_sweep(t):
-    return segments.kmeans_sweep(_points(t), n_init=1)
+    return segments.kmeans_sweep(_points(t))
 
 
 @query("kmeans_labels")
 def kmeans_labels(t):
-    return segments.kmeans_labels(_points(t), 3, n_init=3).select("CustomerID", "Cluster")
+    return segments.kmeans_labels(_points(t), 3).select("CustomerID", "Cluster")
 
 
 def _projected(t):
-    labels = segments.kmeans_labels(_points(t), 3, n_init=1)
+    labels = segments.kmeans_labels(_points(t), 3)
     return segments.pca_projection(labels)
 
 
@@ -638,41 +648,40 @@ def forest_metrics(t):
 @query("model_predictions")
 def model_predictions(t):
     train, test = _parts(t)
-    names = ("Logistic Regression", "Decision Tree")
-    scored = {n: classifiers.train_and_score(train, test, n)["predictions"] for n in names}
+    scored = {n: classifiers.train_and_score(train, test, n)["predictions"] for n in classifiers.MODELS}
     return classifiers.prediction_table(scored)
 
 
 @query("feature_importances")
 def feature_importances(t):
-    train, got = _fitted(t, "Random Forest", trees=50)
-    return classifiers.importance_table(got["model"], train, 20)
+    train, got = _fitted(t, "Random Forest")
+    return classifiers.importance_table(got["model"], train)
 
 
 @query("logreg_coefficients")
 def logreg_coefficients(t):
     train, got = _fitted(t, "Logistic Regression")
-    return classifiers.coefficient_table(got["model"], train, 20)
+    return classifiers.coefficient_table(got["model"], train)
 
 
 @query("best_model")
 def best_model(t):
     train, test = _parts(t)
-    names = ("Logistic Regression", "Decision Tree")
-    rows = {n: classifiers.train_and_score(train, test, n)["metrics"] for n in names}
+    rows = {n: classifiers.train_and_score(train, test, n)["metrics"] for n in classifiers.MODELS}
     table = pinned(classifiers.metric_table(rows))
     return table.filter(F.col("model") == classifiers.best_model(table))
 
 
 @query("cv_metrics")
 def cv_metrics(t):
-    return classifiers.cross_validate(pinned(t.matrix), classifiers.logistic_regression)
+    matrix = pinned(t.matrix)
+    return classifiers.metric_table({n: classifiers.cross_validate(matrix, m) for n, m in classifiers.MODELS.items()})
 
 
 @query("mlp_metrics")
 def mlp_metrics(t):
     train, test = _parts(t)
-    model = classifiers.tabular_mlp(train, max_iter=50)
+    model = classifiers.tabular_mlp(train)
     return classifiers.evaluate(model, test)
 
 
@@ -680,5 +689,5 @@ def mlp_metrics(t):
 def vector_mlp_metrics(t):
     data = vectors.as_vector(t.table("embeddings"), "embedding").select("vec_id", "label", "features")
     parts = pinned(scaling.stratified_split(data, "label", "vec_id"))
-    model = classifiers.vector_mlp(parts.filter(~F.col("is_test")), 64, max_iter=40)
+    model = classifiers.vector_mlp(parts.filter(~F.col("is_test")), 64)
     return scores.multiclass_metrics(model.transform(parts.filter("is_test")), 10)

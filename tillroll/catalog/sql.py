@@ -103,7 +103,7 @@ t_steps AS (
         FROM t_scored GROUP BY score)
 ),
 t_vectors AS (
-  SELECT vec_id, label, list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS prediction FROM embeddings
+  SELECT vec_id, label, CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS INTEGER) AS prediction FROM embeddings
 ),
 t_products AS (SELECT StockCode, sum(TotalAmount) AS revenue FROM t_pos GROUP BY StockCode)
 """.strip()

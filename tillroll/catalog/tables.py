@@ -8,6 +8,7 @@ from tillroll.catalog.registry import query, union
 from tillroll.catalog.sql import FENCES, long_measures
 from tillroll.functions.ranks import hash_sample
 from tillroll.operators import explore, outliers, relations, sales
+from tillroll.operators.relations import SAMPLE_ROWS
 from tillroll.plans import exploration
 
 
@@ -525,7 +526,17 @@ def anomaly_examples(t):
     "sample_n",
     "InvoiceNo:s StockCode:s Quantity:l",
     """SELECT * FROM t_pos ORDER BY md5(InvoiceNo || '-' || StockCode || '-' || CAST(Quantity AS VARCHAR) || '-42'),
-              InvoiceNo, StockCode, Quantity LIMIT 5000""",
+              InvoiceNo, StockCode, Quantity LIMIT 50000""",
 )
 def sample_n(t):
+    return hash_sample(t.positive, SAMPLE_ROWS, ["InvoiceNo", "StockCode", "Quantity"])
+
+
+@query(
+    "sample_5000",
+    "InvoiceNo:s StockCode:s Quantity:l",
+    """SELECT * FROM t_pos ORDER BY md5(InvoiceNo || '-' || StockCode || '-' || CAST(Quantity AS VARCHAR) || '-42'),
+              InvoiceNo, StockCode, Quantity LIMIT 5000""",
+)
+def sample_5000(t):
     return hash_sample(t.positive, 5000, ["InvoiceNo", "StockCode", "Quantity"])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StandardScaler, VectorAssembler
+from pyspark.ml import Estimator, Pipeline
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions.columns import number
@@ -132,6 +134,19 @@ def log_scaled_rfm(table: DataFrame) -> DataFrame:
     return scale_features(add_log1p(table), [f"Log_{c}" for c in RFM_COLUMNS])
 
 
+class PopulationFactor(Estimator):
+    """Turns z-scores by the sample deviation into z-scores by the population deviation."""
+
+    def __init__(self, input_col: str, output_col: str, size: int):
+        super().__init__()
+        self.input_col, self.output_col, self.width = input_col, output_col, size
+
+    def _fit(self, dataset: DataFrame) -> ElementwiseProduct:
+        n = dataset.count()
+        factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+        return ElementwiseProduct(scalingVec=Vectors.dense([factor] * self.width), inputCol=self.input_col, outputCol=self.output_col)
+
+
 def feature_stages(
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
@@ -146,7 +161,8 @@ def feature_stages(
     stages, parts = [], []
     if numeric:
         stages.append(VectorAssembler(inputCols=list(numeric), outputCol="_numbers", handleInvalid="keep"))
-        stages.append(StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True))
+        stages.append(StandardScaler(inputCol="_numbers", outputCol="_centred", withMean=True, withStd=True))
+        stages.append(PopulationFactor("_centred", "_scaled", len(numeric)))
         parts.append("_scaled")
     for c in categorical:
         stages.append(

@@ -20,8 +20,8 @@ def save_table(df: DataFrame, folder: str, name: str, single_file: bool = False,
     return path
 
 
-def save_tables(tables: dict[str, DataFrame], folder: str, single_file: bool = True, fmt: str = "csv") -> dict[str, str]:
-    """Write each table of a result set under its name."""
+def save_tables(tables: dict[str, DataFrame], folder: str, single_file: bool = False, fmt: str = "csv") -> dict[str, str]:
+    """Write each table of a result set under its name; one file each only on request."""
     return {name: save_table(df, folder, name, single_file, fmt) for name, df in tables.items()}
 
 
