@@ -13,6 +13,7 @@ from tillroll.schema import IQR_MULTIPLIER, MEASURES, present, require
 
 # Percentiles of the heavy-tail table.
 TAIL_PROBS = {"P50": 0.5, "P75": 0.75, "P90": 0.90, "P95": 0.95, "P99": 0.99, "P99_5": 0.995, "P99_9": 0.999}
+# Columns of the extreme and example tables.
 EXTREME_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice", "CustomerID", "Country"]
 EXAMPLE_COLUMNS = [
     "InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice", "TotalAmount", "InvoiceDate", "Country",

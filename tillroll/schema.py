@@ -34,6 +34,7 @@ TRANSACTION_SCHEMA = T.StructType(
 # The same columns before coercion: delimited files are read as text and coerced once.
 RAW_TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in BASE_COLUMNS])
 
+# Column groups by name.
 NUMERIC_COLUMNS = ["Quantity", "UnitPrice", "CustomerID"]
 TEXT_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Country"]
 DATE_COLUMNS = ["InvoiceDate"]
@@ -61,6 +62,7 @@ IQR_MULTIPLIER = 1.5
 SEED = 42
 SPLIT_QUANTILE = 0.75
 K_RANGE = range(2, 11)
+# Texts that count as missing.
 BLANK_TEXTS = ["", "nan", "None", "NaN"]
 NULL_INVOICE_TEXTS = ["", "nan", "None"]
 
