@@ -63,3 +63,34 @@ def test_awkward_rows(spark):
     got = html_text.extracted(df).collect()
     assert len(got) == 5 and html_text.extracted(df.limit(0)).count() == 0
     assert {(r.page_id, r.text) for r in got} == {(1, ""), (None, "a"), (2, "deep\n\ner"), (2, "b")}
+
+
+BODY = [f"Sentence number {i} of the story, told at length, with commas, and a good many words." for i in range(6)]
+STORY = "".join(f"<p>{p}</p>" for p in BODY)
+TEASER = "<article class=card><h3><a href=x>Another story</a></h3><p>What it is about, in short.</p></article>"
+
+
+@pytest.mark.parametrize("teasers", [1, 2, 8])
+@pytest.mark.parametrize("around", ["<body>{}</body>", "<body><div>{}</div></body>", "<main>{}</main>"])
+def test_body_in_a_div_beside_teaser_articles(around, teasers):
+    for page in ("<div><h1>Head</h1>" + STORY + "</div><div>" + TEASER * teasers + "</div>", "<div>" + STORY + "</div>" + TEASER * teasers):
+        assert main_text(around.format(page)).removeprefix("Head\n\n").split("\n\n") == BODY
+
+
+@pytest.mark.parametrize("around", ["<body>{}</body>", "<body><div>{}</div></body>", "<main>{}</main>"])
+def test_story_split_over_articles(around):
+    parts = "".join(f"<article><p>{a}</p><p>{b}</p></article>" for a, b in zip(BODY[::2], BODY[1::2]))
+    assert main_text(around.format(parts)).split("\n\n") == BODY
+    assert main_text(around.format(parts + TEASER)).split("\n\n") == BODY
+    assert main_text(around.format(parts + "<article><p>The end.</p></article>")).split("\n\n") == [*BODY, "The end."]
+
+
+def test_headings_beside_the_article():
+    page = f"<body><h1>Head</h1><article>{STORY}</article><h2>More</h2>{TEASER}{TEASER}</body>"
+    assert main_text(page).split("\n\n") == ["Head", *BODY]
+    assert main_text(f"<main><h1>Head</h1><div>{STORY}</div>{TEASER}</main>").split("\n\n") == ["Head", *BODY]
+    assert main_text(f"<article><h1>Head</h1><div>{STORY}</div><p>End.</p></article>").split("\n\n") == ["Head", *BODY, "End."]
+
+
+def test_body_after_an_introducing_article():
+    assert main_text(f"<article><h1>Head</h1><p>Intro.</p></article><div>{STORY}</div>").split("\n\n") == ["Head", "Intro.", *BODY]

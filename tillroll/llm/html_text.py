@@ -3,9 +3,11 @@
 A page becomes a tree of elements with blocks of text. Subtrees that are never article text (menus,
 footers, forms, scripts, whatever class, id or role names as such) are left out first. Each remaining
 block then passes points for its length and commas to its ancestors, less the further they are; an
-element's points are discounted by the share of its text that is in links. The best container is
-kept, widened to the article element it lies in, together with siblings that score well or read
-like its paragraphs.
+element's points are discounted by the share of its text that is in links. Article and main elements
+compete with all others, with a bonus, and a larger one around the only h1 of a page. The best
+container is kept, widened to the article or else main element it lies in, together with siblings that
+score well, head what is kept or read like its paragraphs. Article elements beside the best container
+in a widened one have to score like siblings.
 
 Null and empty pages, and pages without text, give an empty text. Unclosed and stray tags, missing
 end tags and unclosed comments or scripts are taken as browsers take them, near enough. If nothing
@@ -52,18 +54,21 @@ BOILERPLATE = set(
     " widget widgets skip copyright legal disclaimer topbar tracking paywall".split()
 )
 BESIDE = {"with", "has", "no", "without"}  # a name like content-with-sidebar is the content's
-START = {"article": 25, "main": 10, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "address": -3, "th": -5}
+START = {"article": 6, "main": 6, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "address": -3, "th": -5}
 PARAGRAPHS = set("p pre li td th dd dt blockquote h1 h2 h3 h4 h5 h6 figcaption".split())
 HEADINGS = set("h1 h2 h3".split())
+MARKED_MOST = 25  # article and main get what they earned once more, up to this
+TITLE = 100  # for the article, else main element around the only h1
+BEFORE_TITLE = 0.2  # what is left of the points of containers before that element
 
 
 class Element:
-    __slots__ = ("children", "links", "n_links", "out", "parent", "points", "size", "tag")
+    __slots__ = ("children", "links", "n_links", "out", "own", "parent", "points", "size", "strength", "tag")
 
     def __init__(self, tag: str, parent: Element | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list[Element] = []
-        self.points, self.size, self.links, self.n_links = 0.0, 0, 0, 0
+        self.points, self.own, self.strength, self.size, self.links, self.n_links = 0.0, 0.0, 0.0, 0, 0, 0
         if parent is not None:
             parent.children.append(self)
 
@@ -172,6 +177,7 @@ def _score(root: Element, blocks: list[tuple[Element, str]]) -> list[Element]:
         points = 1 + sum(words.count(c) for c in ",;،、，") + min(len(words) / 100, 3) if len(words) >= 25 else 0.2
         up, level = element.parent if element.tag in PARAGRAPHS and element.parent else element, 0
         while up is not None:
+            up.strength += points if level == 0 else 0
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             up, level = up.parent, level + 1
     order, todo = [], [root]
@@ -183,30 +189,99 @@ def _score(root: Element, blocks: list[tuple[Element, str]]) -> list[Element]:
         if element.parent is not None:
             for name in ("size", "links", "n_links"):
                 setattr(element.parent, name, getattr(element.parent, name) + getattr(element, name))
-    for element in order:
+    for element in reversed(order):  # strength: the most that one element within earned by blocks of its own
+        linkless = 1 - element.links / element.size if element.size else 0
+        element.own = element.strength * linkless
+        element.strength = max([element.own, *(e.strength for e in element.children)])
         if element.size and element.points:
-            element.points = (element.points + START.get(element.tag, 0)) * (1 - element.links / element.size)
+            more = min(element.points, MARKED_MOST) if element.tag in ("article", "main") else 0
+            element.points = (element.points + more + START.get(element.tag, 0)) * linkless
     return order
 
 
-def _kept(order: list[Element], texts: dict[int, str]) -> set[int]:
-    """The container and the siblings that belong to it."""
+def _above(element: Element, tags: tuple[str, ...]) -> Element | None:
+    """The innermost of the element and those around it with one of the tags."""
+    while element is not None and element.tag not in tags:
+        element = element.parent
+    return element
+
+
+def _title_holder(order: list[Element]) -> Element | None:
+    """The article, else main element around the page's only h1."""
+    titles = [e for e in order if e.tag == "h1" and e.size and not e.out and e.links < 0.5 * e.size]
+    return (_above(titles[0], ("article",)) or _above(titles[0], ("main",))) if len(titles) == 1 else None
+
+
+def _kept(order: list[Element], texts: dict[int, str]) -> tuple[set[int], set[int]]:
+    """The container with the siblings that belong to it, and article elements within that do not."""
     choices = [e for e in order if e.size and not e.out and e.tag not in PARAGRAPHS and e.tag not in INLINE and e.tag != "#root"]
-    inside = [e for e in choices if e.tag == "article"] or [e for e in choices if e.tag == "main"]
-    choices = inside or choices or [order[0]]
-    best = max(choices, key=lambda e: e.points)
-    if best.tag in ("article", "main") or best.parent is None:
-        return {id(best)}
-    found = {id(best)}
-    for other in best.parent.children:
-        if other is best or not other.size or other.out:
+    title = _title_holder(order)
+    if title is not None:
+        title.points += TITLE
+        around = _line(title)
+        for element in choices:
+            if element is title:
+                break
+            if id(element) not in around:
+                element.points *= BEFORE_TITLE
+    best = max(choices or [order[0]], key=lambda e: e.points)
+    top = _above(best, ("article",)) or _above(best, ("main",)) or best
+    teasers = _teasers(order, best, title)
+    while top.parent is not None and top.parent.tag not in ("#root", "body", "html") and sum(1 for e in top.parent.children if e.size) == 1:
+        top = top.parent
+    if top.parent is None:
+        return {id(top)}, teasers
+    marked = _above(best, ("article", "main"))
+    row = [e for e in top.parent.children if e.size and not e.out]
+    at = next(i for i, e in enumerate(row) if e is top)
+    found = {id(top)}
+    for i, other in enumerate(row):
+        if other is top or other.tag in HEADINGS:
             continue
         density = other.links / other.size
         words = texts.get(id(other), "")
         like = other.tag == "p" and (density < 0.25 if other.size > 80 else density == 0 and words[-1:] in tuple(".!?"))
-        if like or (other.tag in HEADINGS and density < 0.25) or other.points >= max(10, 0.2 * best.points):
+        if other.tag == "article":
+            like = id(other) not in teasers
+        elif i < at and title is not None and title is marked:
+            like = False  # it stands before the title
+        elif marked is not None and not like:
+            like = other.strength >= 10 and other.strength > top.strength  # more than what is marked as the article
+        else:
+            like = like or other.points >= max(10, 0.2 * best.points)
+        if like:
             found.add(id(other))
-    return found
+    for i, other in enumerate(row):
+        if other is not top and other.tag in HEADINGS and other.links < 0.25 * other.size:
+            part = i + 1  # a heading goes with what follows it, up to one of its rank
+            while part < len(row) and not (row[part].tag in HEADINGS and row[part].tag <= other.tag):
+                if id(row[part]) in found:
+                    found.add(id(other))
+                part += 1
+    return found, teasers
+
+
+def _line(element: Element | None) -> set[int]:
+    """The element and all around it."""
+    out = set()
+    while element is not None:
+        out.add(id(element))
+        element = element.parent
+    return out
+
+
+def _teasers(order: list[Element], best: Element, title: Element | None) -> set[int]:
+    """Outer article elements that earned little, or by links, beside the strongest part of the page."""
+    core = max(reversed(order), key=lambda e: e.own)
+    around = _line(core) | _line(best)
+    linked = core.size and core.links >= 0.25 * core.size
+    in_article = _above(core, ("article",)) is not None  # then articles without links may be short parts of it
+    out = set()
+    for e in order:
+        if e.tag == "article" and e.size and e is not title and id(e) not in around and not _above(e.parent, ("article",)) and id(core) not in _line(e.parent):
+            if (e.strength < 0.2 * core.own and (e.n_links or not in_article)) or (e.links >= 0.25 * e.size and not linked):
+                out.add(id(e))
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -219,12 +294,13 @@ def main_text(html: str | None) -> str:
             continue
         order = _score(root, blocks)
         texts: dict[int, str] = {id(e): words for e, words in blocks}
-        top = _kept(order, texts)
+        top, teasers = _kept(order, texts)
         out = []
         for element, words in blocks:
             inside, menu, up = False, False, element
             while up is not None:
                 inside |= id(up) in top
+                menu |= id(up) in teasers
                 # a list of nothing but links is a menu
                 menu |= up.tag in ("ul", "ol") and up.n_links >= 2 and up.links >= 0.8 * up.size
                 up = up.parent
