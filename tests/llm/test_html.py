@@ -94,3 +94,23 @@ def test_headings_beside_the_article():
 
 def test_body_after_an_introducing_article():
     assert main_text(f"<article><h1>Head</h1><p>Intro.</p></article><div>{STORY}</div>").split("\n\n") == ["Head", "Intro.", *BODY]
+
+
+STRAY = "<div class='title'>A site of ours</div>"
+
+
+@pytest.mark.parametrize("names", ["class='post category-legal'", "class='tag-search'", "class='post related'", "id='share'"])
+def test_names_of_articles_and_large_parts(names):
+    assert main_text(f"{STRAY}<article {names}>{STORY}</article>").split("\n\n") == BODY
+    assert main_text(f"{STRAY}<section><div {names}><div>{STORY}</div></div></section>").split("\n\n")[-len(BODY) :] == BODY
+    assert main_text(f"<article><h1>Head</h1><div {names}>{STORY}</div></article>").split("\n\n") == ["Head", *BODY]
+
+
+def test_names_that_still_leave_out():
+    comments = "<article class='comment'><p>" + "Reader says, at length, many things, with commas. " * 12 + "</p></article>"
+    assert main_text(f"<article>{STORY}</article>{comments}").split("\n\n") == BODY
+    assert main_text(f"<article>{STORY}{comments}</article>").split("\n\n") == BODY
+    assert main_text(f"<article>{STORY}<div class='ad'><p>Buy now, cheap, good.</p></div></article>").split("\n\n") == BODY
+    sidebar = "<div class='sidebar'>" + "<p>A word, or two, from us, the makers, on what we do here.</p>" * 6 + "</div>"
+    assert main_text(f"<div>{sidebar}<div>{STORY}</div></div>").split("\n\n") == BODY
+    assert main_text(f"<div><div>{STORY}</div></div>{sidebar}").split("\n\n") == BODY

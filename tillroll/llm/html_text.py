@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of elements with blocks of text. Subtrees that are never article text (menus,
-footers, forms, scripts, whatever class, id or role names as such) are left out first. Each remaining
-block then passes points for its length and commas to its ancestors, less the further they are; an
+footers, forms, scripts, whatever a role names as such) are left out first, and so are those that class
+or id names as such, if they are comments, or no article or main element and hold little of the text or
+many links; others so named only earn less. Each remaining block then passes points for its length and commas to its ancestors, less the further they are; an
 element's points are discounted by the share of its text that is in links. Article and main elements
 compete with all others, with a bonus, and a larger one around the only h1 of a page. The best
 container is kept, widened to the article or else main element it lies in, together with siblings that
@@ -53,7 +54,10 @@ BOILERPLATE = set(
     " recommendations comment comments discussion disqus respond replies reply login signin signup register search pagination pager toolbar masthead"
     " widget widgets skip copyright legal disclaimer topbar tracking paywall".split()
 )
+COMMENTS = set("comment comments discussion disqus respond replies reply".split())
 BESIDE = {"with", "has", "no", "without"}  # a name like content-with-sidebar is the content's
+NAMED_LARGE = 0.25  # share of the page's text from which a named element that is not made of links only earns less
+NAMED_POINTS = 0.3
 START = {"article": 6, "main": 6, "section": 5, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "ul": -3, "ol": -3, "dl": -3, "address": -3, "th": -5}
 PARAGRAPHS = set("p pre li td th dd dt blockquote h1 h2 h3 h4 h5 h6 figcaption".split())
 HEADINGS = set("h1 h2 h3".split())
@@ -63,35 +67,39 @@ BEFORE_TITLE = 0.2  # what is left of the points of containers before that eleme
 
 
 class Element:
-    __slots__ = ("children", "links", "n_links", "out", "own", "parent", "points", "size", "strength", "tag")
+    __slots__ = ("children", "links", "n_links", "named", "out", "own", "parent", "points", "size", "strength", "tag")
 
-    def __init__(self, tag: str, parent: Element | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Element | None, out: bool, named: bool = False):
+        self.tag, self.parent, self.out, self.named = tag, parent, out, named
         self.children: list[Element] = []
         self.points, self.own, self.strength, self.size, self.links, self.n_links = 0.0, 0.0, 0.0, 0, 0, 0
         if parent is not None:
             parent.children.append(self)
 
 
-def named_boilerplate(attributes: dict[str, str]) -> bool:
+def named_boilerplate(attributes: dict[str, str], words: set[str] = BOILERPLATE) -> bool:
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         parts = {p.lower() for p in NAME_WORDS.findall(name)}
-        if parts & BOILERPLATE and not parts & BESIDE:
+        if parts & words and not parts & BESIDE:
             return True
     return False
 
 
-def _left_out(tag: str, raw: str, stack: list[Element], by_name: bool) -> bool:
+def _judged(tag: str, raw: str, stack: list[Element], by_name: bool) -> tuple[bool, bool]:
+    """Whether an element is left out, and whether its names speak against it."""
     if tag in LEFT_OUT or (tag == "header" and not any(e.tag in ("article", "main") for e in stack)):
-        return True
+        return True, False
     if not raw.strip() or tag in ("html", "body"):
-        return False
+        return False, False
     attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
     if hidden or attributes.get("role", "").lower() in LEFT_OUT_ROLES:
-        return True
+        return True, False
     # an article may be called anything but a comment
-    return by_name and named_boilerplate(attributes) and (tag != "main")
+    if not by_name or tag == "main" or not named_boilerplate(attributes):
+        return False, False
+    comments = named_boilerplate(attributes, COMMENTS)
+    return comments, tag != "article" and not comments
 
 
 def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element, str]]]:
@@ -161,30 +169,58 @@ def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element,
                     if stack[i].tag in CLOSES.get(tag, ()):
                         pop_to(i)
             if tag not in VOID and not raw.rstrip().endswith("/"):
-                stack.append(Element(tag, stack[-1], stack[-1].out or _left_out(tag, raw, stack, by_name)))
+                out, named = _judged(tag, raw, stack, by_name)
+                stack.append(Element(tag, stack[-1], stack[-1].out or out, named))
                 is_open[tag] += 1
                 if tag == "a":
                     in_links = is_open["a"]
                     holder().n_links += 1
     say(html[at:])
     close_block()
-    return root, blocks
+    return root, _without_named(root, blocks) if by_name else blocks
+
+
+def _in_order(root: Element) -> list[Element]:
+    order, todo = [], [root]
+    while todo:
+        element = todo.pop()
+        order.append(element)
+        todo += reversed(element.children)
+    return order
+
+
+def _without_named(root: Element, blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
+    """The blocks but those of named elements with little text or many links, which are left out."""
+    order = _in_order(root)
+    if not any(e.named for e in order):
+        return blocks
+    totals = {id(e): [e.size, e.links] for e in order}
+    for e in reversed(order):
+        if e.parent is not None:
+            for i in (0, 1):
+                totals[id(e.parent)][i] += totals[id(e)][i]
+    for e in order:
+        size, links = totals[id(e)]
+        e.out = e.out or (e.parent is not None and e.parent.out) or (e.named and (size < NAMED_LARGE * totals[id(root)][0] or links >= 0.25 * size))
+        if e.out:
+            e.size = e.links = e.n_links = 0
+    return [(e, words) for e, words in blocks if not e.out]
 
 
 def _score(root: Element, blocks: list[tuple[Element, str]]) -> list[Element]:
     """Points for all elements; text and link sizes become those of whole subtrees. In page order."""
     for element, words in blocks:
         points = 1 + sum(words.count(c) for c in ",;،、，") + min(len(words) / 100, 3) if len(words) >= 25 else 0.2
+        up = element
+        while up is not None and not up.named:
+            up = up.parent
+        points *= NAMED_POINTS if up is not None else 1
         up, level = element.parent if element.tag in PARAGRAPHS and element.parent else element, 0
         while up is not None:
             up.strength += points if level == 0 else 0
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             up, level = up.parent, level + 1
-    order, todo = [], [root]
-    while todo:
-        element = todo.pop()
-        order.append(element)
-        todo += reversed(element.children)
+    order = _in_order(root)
     for element in reversed(order):
         if element.parent is not None:
             for name in ("size", "links", "n_links"):
@@ -236,7 +272,7 @@ def _kept(order: list[Element], texts: dict[int, str]) -> tuple[set[int], set[in
     at = next(i for i, e in enumerate(row) if e is top)
     found = {id(top)}
     for i, other in enumerate(row):
-        if other is top or other.tag in HEADINGS:
+        if other is top or other.tag in HEADINGS or (other.named and id(other) in teasers):
             continue
         density = other.links / other.size
         words = texts.get(id(other), "")
@@ -271,7 +307,7 @@ def _line(element: Element | None) -> set[int]:
 
 
 def _teasers(order: list[Element], best: Element, title: Element | None) -> set[int]:
-    """Outer article elements that earned little, or by links, beside the strongest part of the page."""
+    """Outer article elements that earned little, or by links, and named ones beside the strongest part of the page."""
     core = max(reversed(order), key=lambda e: e.own)
     around = _line(core) | _line(best)
     linked = core.size and core.links >= 0.25 * core.size
@@ -281,6 +317,9 @@ def _teasers(order: list[Element], best: Element, title: Element | None) -> set[
         if e.tag == "article" and e.size and e is not title and id(e) not in around and not _above(e.parent, ("article",)) and id(core) not in _line(e.parent):
             if (e.strength < 0.2 * core.own and (e.n_links or not in_article)) or (e.links >= 0.25 * e.size and not linked):
                 out.add(id(e))
+        # outside articles a named element has to hold the strongest part
+        if e.named and e.size and id(e) not in around and not _above(e, ("article",)) and id(core) not in _line(e.parent):
+            out.add(id(e))
     return out
 
 
