@@ -114,3 +114,19 @@ def test_names_that_still_leave_out():
     sidebar = "<div class='sidebar'>" + "<p>A word, or two, from us, the makers, on what we do here.</p>" * 6 + "</div>"
     assert main_text(f"<div>{sidebar}<div>{STORY}</div></div>").split("\n\n") == BODY
     assert main_text(f"<div><div>{STORY}</div></div>{sidebar}").split("\n\n") == BODY
+
+
+def test_lists_of_links_within_the_article():
+    sources = ["The first report of the committee, in full", "A second source, with the numbers of the year", "Third"]
+    listed = "<ul>" + "".join(f"<li><a href=x>{s}</a></li>" for s in sources) + "</ul>"
+    menu = "<ul><li><a href=x>Home</a></li><li><a href=x>News</a></li><li><a href=x>Sports</a></li></ul>"
+    short = "<ol><li><a href=x>One</a></li><li><a href=x>Two</a></li></ol>"
+    for tag in ("article", "main", "div"):
+        assert main_text(f"<{tag}>{STORY}{listed}</{tag}>").split("\n\n") == [*BODY, *sources]
+        assert main_text(f"<{tag}>{STORY}<p>Sources:</p>{short}</{tag}>").split("\n\n") == [*BODY, "Sources:", "One", "Two"]
+        assert main_text(f"<{tag}>{STORY}<h2>Sources</h2>{short}</{tag}>").split("\n\n") == [*BODY, "Sources", "One", "Two"]
+        assert main_text(f"<{tag}>{menu}{STORY}</{tag}>").split("\n\n") == BODY
+        assert main_text(f"<{tag}><ul><li><a href=x>One</a> is, now</li><li><a href=x>The long second</a></li></ul>{STORY}</{tag}>").split("\n\n")[-6:] == BODY
+    assert main_text(f"<body>{menu}<article>{STORY}</article>{listed}</body>").split("\n\n") == BODY
+    assert main_text(f"<body>{STORY}{listed}</body>").split("\n\n") == BODY
+    assert main_text(f"<body><div>{listed}</div>{STORY}<div>{listed}</div></body>").split("\n\n") == BODY

@@ -62,6 +62,7 @@ START = {"article": 6, "main": 6, "section": 5, "div": 5, "pre": 3, "td": 3, "bl
 PARAGRAPHS = set("p pre li td th dd dt blockquote h1 h2 h3 h4 h5 h6 figcaption".split())
 HEADINGS = set("h1 h2 h3".split())
 MARKED_MOST = 25  # article and main get what they earned once more, up to this
+SHORT_LINK = 40  # characters of an item in a menu
 TITLE = 100  # for the article, else main element around the only h1
 BEFORE_TITLE = 0.2  # what is left of the points of containers before that element
 
@@ -323,6 +324,33 @@ def _teasers(order: list[Element], best: Element, title: Element | None) -> set[
     return out
 
 
+def _menus(order: list[Element], blocks: list[tuple[Element, str]], top: set[int]) -> set[int]:
+    """Lists of links: most of their text, or within the chosen container nothing but short links that no sentence or heading leads to."""
+    lists = {id(e): e for e in order if e.tag in ("ul", "ol") and e.n_links >= 2 and e.links >= 0.8 * e.size}
+    before: dict[int, str] = {}
+    words_in: dict[int, list[str]] = {}
+    last, last_words = None, ""
+    for element, words in blocks if lists else ():
+        up = element
+        while up is not None:
+            if id(up) in lists:
+                if id(up) not in words_in:
+                    before[id(up)] = "" if last is None else last_words if last.tag not in HEADINGS | {"h4", "h5", "h6"} else "heading:"
+                words_in.setdefault(id(up), []).append(words)
+            up = up.parent
+        last, last_words = element, words
+    out = set()
+    for key, e in lists.items():
+        chosen, up = False, e.parent
+        while up is not None and up.tag not in ("body", "html", "#root"):
+            chosen |= id(up) in top
+            up = up.parent
+        led = before.get(key, "")[-1:] in tuple(".:!?…;。：")
+        if not chosen or (e.links >= e.size and not led and all(len(x) <= SHORT_LINK for x in words_in.get(key, []))):
+            out.add(key)
+    return out
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the article, one white space between words, two line feeds between blocks."""
     if not html:
@@ -334,14 +362,13 @@ def main_text(html: str | None) -> str:
         order = _score(root, blocks)
         texts: dict[int, str] = {id(e): words for e, words in blocks}
         top, teasers = _kept(order, texts)
+        menus = _menus(order, blocks, top)
         out = []
         for element, words in blocks:
             inside, menu, up = False, False, element
             while up is not None:
                 inside |= id(up) in top
-                menu |= id(up) in teasers
-                # a list of nothing but links is a menu
-                menu |= up.tag in ("ul", "ol") and up.n_links >= 2 and up.links >= 0.8 * up.size
+                menu |= id(up) in teasers or id(up) in menus
                 up = up.parent
             if inside and not menu:
                 out.append(words)
