@@ -95,6 +95,41 @@ def test_toxicity_on_held_out_rows(spark):
     assert held.predicted[held.toxic == 0].mean() < 0.03
 
 
+def test_toxicity_thresholds_use_all_labelled_rows():
+    """At the true shares of the labels, from rows outside the sample; with few rows also from cross-fitted ones."""
+    rng = np.random.default_rng(8)
+    toxic, other = rng.normal(1.5, 1, 4000), rng.normal(-1.5, 1, 36_000)
+    at = np.linspace(-3, 4, 1401)
+    hits, wrong = (toxic[:, None] >= at).sum(axis=0), (other[:, None] >= at).sum(axis=0)
+    want = at[(2 * hits / (hits + wrong + 4000)).argmax()]
+    rows = np.zeros((toxicity.OTHER + 1, 2, 2 * toxicity.MOST * toxicity.CELLS + 1))
+    np.add.at(rows, (0, 1, toxicity.cell(toxic[:2000])), 1)  # the sample has the other 2,000
+    np.add.at(rows, (0, 0, toxicity.cell(other[:33_000])), 1)
+    np.add.at(rows, (1, 0, toxicity.cell(other[:5])), 1)
+    found = toxicity.marks(rows, np.array([3000, 2000]), ([], None, None), None)
+    assert abs(found[0] - want) < 0.25 and (abs(found[1:] - want) < 0.25).all()
+
+    words = rng.integers(0, 400, (600, 12, 4)).astype(np.int32)
+    labels = (np.arange(600) % 3 == 0).astype(int)
+    words[labels == 1, 3] = 7
+    model = toxicity.Convolutions()
+    model.fit(list(words), labels)
+    few = toxicity.marks(np.zeros_like(rows), np.array([400, 200]), (list(words), labels, np.zeros(600, int)), model)
+    logit = toxicity.cross_fitted(list(words), labels, model)
+    assert ((logit >= few[0]) == labels).mean() > 0.95 and len(set(few)) == 1
+
+
+def test_toxicity_histogram_has_each_labelled_row_once(tables, monkeypatch):
+    docs, labels = tables
+    monkeypatch.setattr(toxicity, "SAMPLE", {0: 20, 1: 5})
+    found = docs.select("doc_id", F.lit(0).alias("language"), (F.col("doc_id") % 7 - 3.0).alias("logit"))
+    outside, inside = toxicity.histogram(found, labels)
+    ids = labels.filter(~toxicity.held_out(toxicity.MOD, toxicity.REST)).filter("toxic is not null").join(docs, "doc_id")
+    counts = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
+    assert (outside.sum(axis=(0, 2)) + inside).tolist() == [counts.get(0, 0), counts.get(1, 0)]
+    assert 0 < inside[0] < 60 and inside[1] < 20
+
+
 def test_convolution_slopes():
     """The step of a batch goes down the loss."""
     rng = np.random.default_rng(3)

@@ -21,6 +21,17 @@ def by_hash(seed: int, part: float) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) < int(part * (1 << 30))
 
 
+def chosen(labels: DataFrame, label: str, mod: int, rest: int, bounds: dict[int, int], seed: int = 7) -> tuple[DataFrame, Column]:
+    """(doc_id, label) of documents outside the held-out part whose label rows agree, and which of them are in the sample."""
+    own = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label")).filter(~held_out(mod, rest))
+    own = own.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_max")).filter("label = _max").drop("_max")
+    counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}  # a row per class
+    wanted = F.lit(False)
+    for value, bound in bounds.items():
+        wanted = wanted | ((F.col("label") == value) & by_hash(seed + value, share(bound, counts.get(value, 0))))
+    return own, wanted
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, bounds: dict[int, int], unlabelled: int = 0, seed: int = 7) -> DataFrame:
     """(text, label) of about ``bounds[v]`` rows with each label v, and rows with label -1 for unlabelled text.
 
@@ -28,12 +39,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int
     null is no labelled row. Expected sizes are the bounds, so the sample that reaches the driver has
     a bound of its own, and the ids that are broadcast have it too.
     """
-    own = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label")).filter(~held_out(mod, rest))
-    own = own.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_max")).filter("label = _max").drop("_max")
-    counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}  # a row per class
-    wanted = F.lit(False)
-    for value, bound in bounds.items():
-        wanted = wanted | ((F.col("label") == value) & by_hash(seed + value, share(bound, counts.get(value, 0))))
+    own, wanted = chosen(labels, label, mod, rest, bounds, seed)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(~held_out(mod, rest))
     found = rows.join(F.broadcast(own.filter(wanted)), "doc_id", "left")
     if not unlabelled:
