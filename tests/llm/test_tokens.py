@@ -138,3 +138,31 @@ def test_one_text_of_many_rows(spark):
     rows = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("same words again").alias("text"))
     got = packing.pack(rows, tokenizer_path("words"), 16).toPandas()
     assert got.groupby("sequence_id")["length"].sum().min() >= 12
+
+
+def test_pieces_stay_whole_through_rounds(odd_documents, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 3)
+    got = packing.pack(odd_documents.repartition(12), tokenizer_path("words"), 512).toPandas()
+    for _, one in got.groupby("sequence_id"):
+        one = one.sort_values("offset")
+        assert one["offset"].tolist() == [0, *one["length"].cumsum().tolist()[:-1]]
+        assert one["length"].sum() <= 512
+
+
+def test_merging_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 40)
+    rng = random.Random(5)
+    sizes = {(i // 10) << 32 | i % 10: 1100 if i < 640 else 900 for i in range(1280)}
+    sizes |= {(500 + i) << 32: rng.randint(1, 2047) for i in range(60)}
+    moved = {r.sequence_id: (r.into, r.shift) for r in packing.merged(spark.createDataFrame(list(sizes.items()), "sequence_id long, filled long"), 2048).collect()}
+    whole: dict[int, list] = {}
+    for number, filled in sizes.items():
+        into, shift = moved.get(number, (number, 0))
+        whole.setdefault(into, []).append((shift, filled))
+    for parts in whole.values():
+        parts.sort()
+        ends = [0, *(shift + filled for shift, filled in parts)]
+        assert [shift for shift, _ in parts] == ends[:-1] and ends[-1] <= 2048
+    assert sum(map(len, whole.values())) == len(sizes)
+    at_once = packing.SumOfSquares(2048)
+    assert len(whole) <= len({at_once.place(n)[0] for n in sorted(sizes.values(), reverse=True)})

@@ -4,8 +4,9 @@ A document is its ids and the end id; only one that is longer than a sequence is
 pieces and a rest. Each piece goes where the sum over residual gaps of the squared count of open
 sequences with that gap becomes smallest, a new sequence being one of the choices; ties go to the
 smallest gap, then to an open sequence. Rows stream through their partitions, so a task holds the
-open sequences only. What stays open is packed once more, by the same rule and over groups of
-partitions, with whole open sequences as the pieces.
+open sequences only. What stays open is packed again, by the same rule with whole open sequences as the
+pieces, in groups drawn from all partitions, and again in fewer groups, until all that could still
+share a sequence with another lie in one group.
 
 Null and empty texts are documents of the end id alone. Rows with equal or null ids are packed like
 any others. An empty table gives no rows. Sequence numbers are unique, not consecutive.
@@ -28,7 +29,7 @@ from tillroll.llm.shared import kept
 LENGTH = 2048
 END_ID = 0
 WINDOW = 1 << 16  # pieces that are placed largest first among themselves
-MERGE_PARTS = 64  # partitions whose open sequences are packed together
+GROUP_ROWS = 1 << 16  # open sequences that are packed together, as long as they are many
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -107,30 +108,63 @@ def _pack_part(tokenizer: str, length: int):
 def _merge(length: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["filled", "sequence_id"], ascending=[False, True])
-        packer = SumOfSquares(length)
-        firsts: dict[int, int] = {}
-        to, shift = [], []
-        for number, filled in zip(rows["sequence_id"], rows["filled"]):
-            bin_, offset = packer.place(int(filled))
-            to.append(firsts.setdefault(bin_, int(number)))
-            shift.append(offset)
-        return pd.DataFrame({"sequence_id": rows["sequence_id"].to_numpy(), "into": to, "shift": shift})
+        numbers, filled = rows["sequence_id"].to_numpy(), rows["filled"].to_numpy()
+        total = filled.copy()  # of what starts with this row, 0 once it is put behind another
+        into, shift = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+        joined = True
+        while joined:  # the rule leaves some apart that fit; those are packed once more
+            least = total[total > 0].min()
+            fits = np.flatnonzero((total > 0) & (total + least <= length))
+            fits = fits[np.argsort(-total[fits], kind="stable")]
+            packer = SumOfSquares(length)
+            firsts: dict[int, int] = {}
+            to, by = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+            for i in fits.tolist():
+                bin_, by[i] = packer.place(int(total[i]))
+                to[i] = firsts.setdefault(bin_, i)
+            joined = bool((by > 0).any())
+            shift += by[into]
+            into = to[into]
+            total = np.bincount(into, filled, len(rows)).astype(np.int64)
+        return pd.DataFrame({"sequence_id": numbers, "into": numbers[into], "shift": shift, "filled": filled})
 
     return run
 
 
+def merged(open_: DataFrame, length: int) -> DataFrame:
+    """(sequence_id, into, shift) of the open sequences (sequence_id, filled) that are put behind another.
+
+    Each round takes fewer groups: at most half as many, and about GROUP_ROWS sequences in each while
+    that allows more. Sequences too full for the least filled one can join no other and leave the rounds.
+    """
+    moved, groups, number = None, None, 0
+    while groups != 1:
+        open_ = kept(open_, "open")
+        n, least = open_.agg(F.count("*"), F.min("filled")).first()
+        many = -(-n // GROUP_ROWS)
+        groups = max(1, many if groups is None else min(many, groups // 2))
+        if n and groups > 1:
+            open_ = open_.filter(F.col("filled") + least <= length)
+        grouped = open_.withColumn("group", F.pmod(F.xxhash64(F.lit(number), "sequence_id"), F.lit(groups)) if groups > 1 else F.lit(0).cast("long"))
+        step = kept(grouped.groupBy("group").applyInPandas(_merge(length), "sequence_id long, into long, shift long, filled long"), "merged")
+        if groups > 1:
+            open_ = step.groupBy(F.col("into").alias("sequence_id")).agg(F.sum("filled").alias("filled")).filter(F.col("filled") < length)
+        if moved is None:
+            moved = step.select("sequence_id", "into", "shift")
+        else:
+            further = step.select(F.col("sequence_id").alias("into"), F.col("into").alias("last"), F.col("shift").alias("more"))
+            moved = moved.join(further, "into", "left").select(
+                "sequence_id", F.coalesce("last", "into").alias("into"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift")
+            )
+        number += 1
+    return moved.filter((F.col("sequence_id") != F.col("into")) | (F.col("shift") != 0))
+
+
 def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """One row per piece: where it was cut and where it was put."""
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     placed = kept(rows.mapInArrow(_pack_part(tokenizer, length), _PIECES), "packed")
-    open_ = placed.groupBy("sequence_id").agg(F.sum("length").alias("filled")).filter(F.col("filled") < length)
-    group = F.shiftright("sequence_id", 32)
-    moved = (
-        open_.withColumn("group", F.floor(group / MERGE_PARTS))
-        .groupBy("group")
-        .applyInPandas(_merge(length), "sequence_id long, into long, shift long")
-        .filter((F.col("sequence_id") != F.col("into")) | (F.col("shift") != 0))
-    )
+    moved = merged(placed.groupBy("sequence_id").agg(F.sum("length").alias("filled")).filter(F.col("filled") < length), length)
     return placed.join(moved, "sequence_id", "left").select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         F.coalesce("into", "sequence_id").alias("sequence_id"),
