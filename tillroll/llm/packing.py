@@ -4,9 +4,10 @@ A document is its ids and the end id; only one that is longer than a sequence is
 pieces and a rest. Each piece goes where the sum over residual gaps of the squared count of open
 sequences with that gap becomes smallest, a new sequence being one of the choices; ties go to the
 smallest gap, then to an open sequence. Rows stream through their partitions, so a task holds the
-open sequences only. What stays open is packed again, by the same rule with whole open sequences as the
-pieces, in groups drawn from all partitions, and again in fewer groups, until all that could still
-share a sequence with another lie in one group.
+open sequences only. What stays open in any partition is then put together: a plan is made on the
+number of units of each size, largest first into the tightest gap, and every unit finds its place in
+the plan by its number within its size, so no task holds more than a group. An open sequence with at
+most length // SLACK places left is one unit; one with more is taken apart and each of its pieces is a unit.
 
 Null and empty texts are documents of the end id alone. Rows with equal or null ids are packed like
 any others. An empty table gives no rows. Sequence numbers are unique, not consecutive.
@@ -16,20 +17,22 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.llm.encode import batches, encoder
-from tillroll.llm.shared import kept
+from tillroll.llm.shared import kept, with_offsets
 
 LENGTH = 2048
 END_ID = 0
 WINDOW = 1 << 16  # pieces that are placed largest first among themselves
-GROUP_ROWS = 1 << 16  # open sequences that are packed together, as long as they are many
+SLACK = 16  # a sequence that ends with more than length // SLACK places left is taken apart
+GROUP_ROWS = 1 << 16  # units that are numbered together
+FIRST_MERGED = 1 << 61  # numbers of sequences put together start here, above those of all partitions
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -105,68 +108,103 @@ def _pack_part(tokenizer: str, length: int):
     return run
 
 
-def _merge(length: int):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["filled", "sequence_id"], ascending=[False, True])
-        numbers, filled = rows["sequence_id"].to_numpy(), rows["filled"].to_numpy()
-        total = filled.copy()  # of what starts with this row, 0 once it is put behind another
-        into, shift = np.arange(len(rows)), np.zeros(len(rows), np.int64)
-        joined = True
-        while joined:  # the rule leaves some apart that fit; those are packed once more
-            least = total[total > 0].min()
-            fits = np.flatnonzero((total > 0) & (total + least <= length))
-            fits = fits[np.argsort(-total[fits], kind="stable")]
-            packer = SumOfSquares(length)
-            firsts: dict[int, int] = {}
-            to, by = np.arange(len(rows)), np.zeros(len(rows), np.int64)
-            for i in fits.tolist():
-                bin_, by[i] = packer.place(int(total[i]))
-                to[i] = firsts.setdefault(bin_, i)
-            joined = bool((by > 0).any())
-            shift += by[into]
-            into = to[into]
-            total = np.bincount(into, filled, len(rows)).astype(np.int64)
-        return pd.DataFrame({"sequence_id": numbers, "into": numbers[into], "shift": shift, "filled": filled})
+@dataclass
+class Bins:
+    """``count`` new sequences alike: the t-th holds unit ``first + t`` of each member's size."""
 
-    return run
+    count: int
+    gap: int
+    members: list[tuple[int, int, int]]  # (size, first, offset)
+
+    def split(self, n: int) -> "Bins":
+        """Take the first ``n`` of them away."""
+        taken = Bins(n, self.gap, list(self.members))
+        self.members = [(size, first + n, offset) for size, first, offset in self.members]
+        self.count -= n
+        return taken
 
 
-def merged(open_: DataFrame, length: int) -> DataFrame:
-    """(sequence_id, into, shift) of the open sequences (sequence_id, filled) that are put behind another.
+def recipe(counts: dict[int, int], length: int) -> list[Bins]:
+    """How units, counted by size, are put together: largest first, each where the gap is tightest.
 
-    Each round takes fewer groups: at most half as many, and about GROUP_ROWS sequences in each while
-    that allows more. Sequences too full for the least filled one can join no other and leave the rounds.
+    Sizes are handled as a whole, so the work and the recipe depend on ``length``, not on the counts.
     """
-    moved, groups, number = None, None, 0
-    while groups != 1:
-        open_ = kept(open_, "open")
-        n, least = open_.agg(F.count("*"), F.min("filled")).first()
-        many = -(-n // GROUP_ROWS)
-        groups = max(1, many if groups is None else min(many, groups // 2))
-        if n and groups > 1:
-            open_ = open_.filter(F.col("filled") + least <= length)
-        grouped = open_.withColumn("group", F.pmod(F.xxhash64(F.lit(number), "sequence_id"), F.lit(groups)) if groups > 1 else F.lit(0).cast("long"))
-        step = kept(grouped.groupBy("group").applyInPandas(_merge(length), "sequence_id long, into long, shift long, filled long"), "merged")
-        if groups > 1:
-            open_ = step.groupBy(F.col("into").alias("sequence_id")).agg(F.sum("filled").alias("filled")).filter(F.col("filled") < length)
-        if moved is None:
-            moved = step.select("sequence_id", "into", "shift")
-        else:
-            further = step.select(F.col("sequence_id").alias("into"), F.col("into").alias("last"), F.col("shift").alias("more"))
-            moved = moved.join(further, "into", "left").select(
-                "sequence_id", F.coalesce("last", "into").alias("into"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift")
-            )
-        number += 1
-    return moved.filter((F.col("sequence_id") != F.col("into")) | (F.col("shift") != 0))
+    by_gap: dict[int, list[Bins]] = {}
+    done: list[Bins] = []
+
+    def keep(bins: Bins) -> None:
+        (by_gap.setdefault(bins.gap, []) if bins.gap else done).append(bins)
+
+    for size in sorted(counts, reverse=True):
+        first, left = 0, counts[size]
+        while left:
+            gap = min((g for g in by_gap if g >= size), default=None)
+            if gap is None:
+                break
+            group = by_gap[gap][-1]
+            if group.count > left:
+                taken = group.split(left)
+            else:
+                taken = by_gap[gap].pop()
+                if not by_gap[gap]:
+                    del by_gap[gap]
+            taken.members.append((size, first, length - gap))
+            taken.gap -= size
+            keep(taken)
+            first, left = first + taken.count, left - taken.count
+        each = length // size
+        for n, held in ((left // each, each), (1, left % each)):
+            if n and held:
+                keep(Bins(n, length - held * size, [(size, first + n * j, size * j) for j in range(held)]))
+                first += n * held
+    return [*done, *(g for groups in by_gap.values() for g in groups)]
+
+
+def merged(units: DataFrame, length: int) -> DataFrame:
+    """(sequence_id, at, into, shift) for the units (sequence_id, at, filled): new numbers and where they start.
+
+    The plan is made on how many units there are of each size, at most ``length`` numbers. Rows are
+    numbered within their size in groups of about GROUP_ROWS and find their place by number.
+    """
+    units = kept(units, "units")
+    counts = {r["filled"]: r["n"] for r in units.groupBy("filled").agg(F.count("*").alias("n")).collect()}
+    starts, total = {}, 0
+    for size in sorted(counts):
+        starts[size], total = total, total + counts[size]
+    keys, numbers, offsets, base = [], [], [], FIRST_MERGED
+    for bins in recipe(counts, length):
+        for size, first, offset in bins.members:
+            keys.append(starts[size] + first)
+            numbers.append(base)
+            offsets.append(offset)
+        base += bins.count
+    order = np.argsort(np.array(keys, np.int64), kind="stable")
+    keys, numbers, offsets = (np.array(x, np.int64)[order] for x in (keys, numbers, offsets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = batch["number"].to_numpy()
+            at = np.searchsorted(keys, number, "right") - 1
+            yield pa.RecordBatch.from_arrays([batch["sequence_id"], batch["at"], pa.array(numbers[at] + number - keys[at]), pa.array(offsets[at])], ["sequence_id", "at", "into", "shift"])
+
+    parts = max(1, -(-total // GROUP_ROWS))
+    grouped = units.withColumn("group", F.col("filled") * parts + F.pmod(F.xxhash64("sequence_id", "at"), F.lit(parts)))
+    before = with_offsets(grouped.groupBy("group").agg(F.count("*").alias("rows")), "group", "rows", "before").select("group", "before")
+    within = F.row_number().over(Window.partitionBy("group").orderBy("sequence_id", "at"))
+    numbered = grouped.withColumn("within", within).join(before, "group")
+    return numbered.select("sequence_id", "at", (F.col("before") + F.col("within") - 1).cast("long").alias("number")).mapInArrow(run, "sequence_id long, at long, into long, shift long")
 
 
 def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """One row per piece: where it was cut and where it was put."""
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     placed = kept(rows.mapInArrow(_pack_part(tokenizer, length), _PIECES), "packed")
-    moved = merged(placed.groupBy("sequence_id").agg(F.sum("length").alias("filled")).filter(F.col("filled") < length), length)
-    return placed.join(moved, "sequence_id", "left").select(
+    filled = placed.groupBy("sequence_id").agg(F.sum("length").alias("filled"))
+    apart = F.when(F.col("filled") < length - length // SLACK, F.col("offset")).otherwise(-1)
+    tagged = placed.join(filled, "sequence_id").withColumn("at", apart)
+    units = tagged.filter(F.col("filled") < length).groupBy("sequence_id", "at").agg(F.sum("length").alias("filled"))
+    return tagged.join(merged(units, length), ["sequence_id", "at"], "left").select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         F.coalesce("into", "sequence_id").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"),
+        F.when(F.col("into").isNull(), F.col("offset")).otherwise(F.col("shift") + F.when(F.col("at") < 0, F.col("offset")).otherwise(0)).alias("offset"),
     )
