@@ -130,3 +130,38 @@ def test_lists_of_links_within_the_article():
     assert main_text(f"<body>{menu}<article>{STORY}</article>{listed}</body>").split("\n\n") == BODY
     assert main_text(f"<body>{STORY}{listed}</body>").split("\n\n") == BODY
     assert main_text(f"<body><div>{listed}</div>{STORY}<div>{listed}</div></body>").split("\n\n") == BODY
+
+
+PROSE = "<p>" + "This is a long sentence about the subject, with commas, and enough words to count as prose in an article. " * 2 + "</p>"
+
+
+@pytest.mark.parametrize("tag", ["section class='share-prices'", "section id='legal'", "div class='social-history'", "div class='related-work'"])
+@pytest.mark.parametrize("others", [1, 6])
+def test_parts_named_after_their_subject_stay(tag, others):
+    part = f"<{tag}><p>Unique paragraph text which is long enough to be counted as prose by any rule, and it ends here.</p></{tag.split()[0]}>"
+    page = f"<html><body><nav><a href=x>home</a></nav><article><h1>T</h1>{PROSE * others}{part}{PROSE}</article></body></html>"
+    assert "Unique paragraph" in html_text.main_text(page)
+    links = f"<{tag}><ul><li><a href=a>Another story to read</a></li><li><a href=b>One more story to read</a></li></ul></{tag.split()[0]}>"
+    assert "story to read" not in html_text.main_text(page.replace(part, links))
+
+
+def test_formulas_are_text():
+    page = "<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>E=mc^2</annotation></math> here, as everybody knows.</p></article>"
+    assert html_text.main_text(page) == "Energy is E=mc2 here, as everybody knows."
+
+
+def test_title_in_a_small_card_does_not_win():
+    page = f"<body><div>{PROSE * 8}</div><article><h1>Author card</h1><p>one short sentence</p></article></body>"
+    assert html_text.main_text(page).startswith("This is a long sentence")
+
+
+@pytest.mark.parametrize("piece", ["<div>a ", "<div><b>a</b> ", "<article><p>word, ", "<td>a ", "<div class='ad'>x", "</b><div><b>"])
+def test_deep_pages_take_linear_time(piece):
+    import time
+
+    start = time.process_time()
+    html_text.main_text(piece * 10_000)
+    small = time.process_time() - start
+    start = time.process_time()
+    html_text.main_text(piece * 100_000)
+    assert time.process_time() - start < max(5, 25 * small)

@@ -5,7 +5,8 @@ footers, forms, scripts, whatever a role names as such) are left out first, and
 or id names as such, if they are comments, or no article or main element and hold little of the text or
 many links; others so named only earn less. Each remaining block then passes points for its length and commas to its ancestors, less the further they are; an
 element's points are discounted by the share of its text that is in links. Article and main elements
-compete with all others, with a bonus, and a larger one around the only h1 of a page. The best
+compete with all others, with a bonus in proportion to what they earned, and a further one around the only h1 of a
+page, which is large only where no container outside has several paragraphs. The best
 container is kept, widened to the article or else main element it lies in, together with siblings that
 score well, head what is kept or read like its paragraphs. Article elements beside the best container
 in a widened one have to score like siblings.
@@ -19,8 +20,9 @@ give equal rows, an empty table no rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -36,10 +38,13 @@ NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # HTML element groups.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe textarea xmp noembed noframes svg math object audio video canvas select title".split())
+RAW = set("script style noscript template iframe textarea xmp noembed noframes svg object audio video canvas select title annotation annotation-xml".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter nobr output q ruby rb rt rp s samp small span strike strong"
-    " sub sup time tt u var wbr".split()
+    " sub sup time tt u var wbr"
+    # formulas are text of the sentence they stand in
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover"
+    " mmultiscripts mprescripts none mtable mtr mtd semantics".split()
 )
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -55,6 +60,9 @@ BOILERPLATE = set(
     " widget widgets skip copyright legal disclaimer topbar tracking paywall".split()
 )
 COMMENTS = set("comment comments discussion disqus respond replies reply".split())
+# Words that a part of an article may be about: only links or the lack of prose then speak against it.
+SUBJECTS = set("share sharing social related recommended recommendations legal disclaimer copyright search register discussion widget widgets tracking".split())
+PROSE = 80  # characters of a block that counts as prose
 BESIDE = {"with", "has", "no", "without"}  # a name like content-with-sidebar is the content's
 NAMED_LARGE = 0.25  # share of the page's text from which a named element that is not made of links only earns less
 NAMED_POINTS = 0.3
@@ -63,15 +71,22 @@ PARAGRAPHS = set("p pre li td th dd dt blockquote h1 h2 h3 h4 h5 h6 figcaption".
 HEADINGS = set("h1 h2 h3".split())
 MARKED_MOST = 25  # article and main get what they earned once more, up to this
 SHORT_LINK = 40  # characters of an item in a menu
-TITLE = 100  # for the article, else main element around the only h1
-BEFORE_TITLE = 0.2  # what is left of the points of containers before that element
+TITLE = 25  # the article, else main element around the only h1 gets what it earned once more, up to this
+TITLE_ALONE = 100  # if no container outside it has RUN paragraphs of prose
+BEFORE_TITLE = 0.2  # then what is left of the points of containers before it
+RUN = 3
+LEVELS = 40  # ancestors that get points from a block; what further ones would get is below 1 %
 
 
 class Element:
-    __slots__ = ("children", "links", "n_links", "named", "out", "own", "parent", "points", "size", "strength", "tag")
-
-    def __init__(self, tag: str, parent: Element | None, out: bool, named: bool = False):
-        self.tag, self.parent, self.out, self.named = tag, parent, out, named
+    __slots__ = ("block", "children", "depth", "links", "n_links", "named", "out", "own", "parent", "points", "prose", "size", "strength", "subject", "tag")
+
+    def __init__(self, tag: str, parent: Element | None, out: bool, named: bool = False, subject: bool = False):
+        self.tag, self.parent, self.out, self.named, self.subject = tag, parent, out, named, subject
+        inline = tag in INLINE and parent is not None
+        self.block: Element = parent.block if inline else self  # the innermost element that is not inline
+        self.depth: int = 0 if parent is None else parent.depth + (not inline)  # elements around it that are not inline
+        self.prose = 0
         self.children: list[Element] = []
         self.points, self.own, self.strength, self.size, self.links, self.n_links = 0.0, 0.0, 0.0, 0, 0, 0
         if parent is not None:
@@ -86,21 +101,21 @@ def named_boilerplate(attributes: dict[str, str], words: set[str] = BOILERPLATE)
     return False
 
 
-def _judged(tag: str, raw: str, stack: list[Element], by_name: bool) -> tuple[bool, bool]:
-    """Whether an element is left out, and whether its names speak against it."""
-    if tag in LEFT_OUT or (tag == "header" and not any(e.tag in ("article", "main") for e in stack)):
-        return True, False
+def _judged(tag: str, raw: str, in_article: bool, by_name: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is left out, whether its names speak against it, and whether they may be its subject."""
+    if tag in LEFT_OUT or (tag == "header" and not in_article):
+        return True, False, False
     if not raw.strip() or tag in ("html", "body"):
-        return False, False
+        return False, False, False
     attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
     if hidden or attributes.get("role", "").lower() in LEFT_OUT_ROLES:
-        return True, False
+        return True, False, False
     # an article may be called anything but a comment
     if not by_name or tag == "main" or not named_boilerplate(attributes):
-        return False, False
-    comments = named_boilerplate(attributes, COMMENTS)
-    return comments, tag != "article" and not comments
+        return False, False, False
+    comments = named_boilerplate(attributes, COMMENTS - SUBJECTS)
+    return comments, tag != "article" and not comments, not named_boilerplate(attributes, BOILERPLATE - SUBJECTS)
 
 
 def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element, str]]]:
@@ -109,7 +124,7 @@ def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element,
     stack, blocks = [root], []
     text: list[str] = []
     in_links, link_size = 0, 0
-    is_open: Counter[str] = Counter()  # open elements by tag
+    is_open: dict[str, list[int]] = defaultdict(list)  # places of open elements by tag
 
     def close_block() -> None:
         nonlocal link_size
@@ -119,16 +134,17 @@ def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element,
             blocks.append((holder(), words))
             holder().size += len(words)
             holder().links += min(link_size, len(words))
+            holder().prose += len(words) if len(words) >= PROSE and link_size < 0.25 * len(words) else 0
         link_size = 0
 
     def holder() -> Element:
-        return next(e for e in reversed(stack) if e.tag not in INLINE)
+        return stack[-1].block
 
     def pop_to(place: int) -> None:
         nonlocal in_links
         for e in stack[place:]:
-            is_open[e.tag] -= 1
-        in_links = is_open["a"]
+            is_open[e.tag].pop()
+        in_links = len(is_open["a"])
         del stack[place:]
 
     def say(raw: str) -> None:
@@ -152,8 +168,8 @@ def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element,
         elif closing:
             if tag not in INLINE:
                 close_block()
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0) if is_open[tag] else 0
-            if place and not (tag in INLINE and any(e.tag not in INLINE for e in stack[place + 1 :])):
+            place = is_open[tag][-1] if is_open[tag] else 0
+            if place and not (tag in INLINE and stack[-1].depth > stack[place].depth):
                 pop_to(place)
         elif tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
@@ -163,18 +179,17 @@ def parse(html: str, by_name: bool = True) -> tuple[Element, list[tuple[Element,
             if tag not in INLINE:
                 close_block()
                 if is_open["p"]:  # any block ends a paragraph
-                    pop_to(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"))
-                for i in range(len(stack) - 1, 0, -1) if tag in SCOPES else ():
-                    if stack[i].tag in SCOPES.get(tag, ()):
-                        break
-                    if stack[i].tag in CLOSES.get(tag, ()):
-                        pop_to(i)
+                    pop_to(is_open["p"][-1])
+                scope = max((is_open[t][-1] for t in SCOPES.get(tag, ()) if is_open[t]), default=0)
+                ended = [places[bisect(places, scope)] for places in (is_open[t] for t in CLOSES.get(tag, ()) if tag in SCOPES) if places and places[-1] > scope]
+                if ended:
+                    pop_to(min(ended))
             if tag not in VOID and not raw.rstrip().endswith("/"):
-                out, named = _judged(tag, raw, stack, by_name)
-                stack.append(Element(tag, stack[-1], stack[-1].out or out, named))
-                is_open[tag] += 1
+                out, named, subject = _judged(tag, raw, bool(is_open["article"] or is_open["main"]), by_name)
+                is_open[tag].append(len(stack))
+                stack.append(Element(tag, stack[-1], stack[-1].out or out, named, subject))
                 if tag == "a":
-                    in_links = is_open["a"]
+                    in_links = len(is_open["a"])
                     holder().n_links += 1
     say(html[at:])
     close_block()
@@ -190,19 +205,30 @@ def _in_order(root: Element) -> list[Element]:
     return order
 
 
+def _within(order: list[Element], test: Callable[[Element], bool]) -> set[int]:
+    """Elements that pass the test or lie in one that does; ``order`` has parents before children."""
+    found: set[int] = set()
+    for e in order:
+        if (e.parent is not None and id(e.parent) in found) or test(e):
+            found.add(id(e))
+    return found
+
+
 def _without_named(root: Element, blocks: list[tuple[Element, str]]) -> list[tuple[Element, str]]:
-    """The blocks but those of named elements with little text or many links, which are left out."""
+    """The blocks but those of named elements with many links, or little text that is not prose on a subject."""
     order = _in_order(root)
     if not any(e.named for e in order):
         return blocks
-    totals = {id(e): [e.size, e.links] for e in order}
+    totals = {id(e): [e.size, e.links, e.prose] for e in order}
     for e in reversed(order):
         if e.parent is not None:
-            for i in (0, 1):
+            for i in (0, 1, 2):
                 totals[id(e.parent)][i] += totals[id(e)][i]
     for e in order:
-        size, links = totals[id(e)]
-        e.out = e.out or (e.parent is not None and e.parent.out) or (e.named and (size < NAMED_LARGE * totals[id(root)][0] or links >= 0.25 * size))
+        size, links, prose = totals[id(e)]
+        e.subject = e.named and e.subject and prose >= 0.5 * size
+        small = size < NAMED_LARGE * totals[id(root)][0] and not e.subject
+        e.out = e.out or (e.parent is not None and e.parent.out) or (e.named and (small or links >= 0.25 * size))
         if e.out:
             e.size = e.links = e.n_links = 0
     return [(e, words) for e, words in blocks if not e.out]
@@ -210,18 +236,16 @@ def _without_named(root: Element, blocks: list[tuple[Element, str]]) -> list[tup
 
 def _score(root: Element, blocks: list[tuple[Element, str]]) -> list[Element]:
     """Points for all elements; text and link sizes become those of whole subtrees. In page order."""
+    order = _in_order(root)
+    named = _within(order, lambda e: e.named)
     for element, words in blocks:
         points = 1 + sum(words.count(c) for c in ",;،、，") + min(len(words) / 100, 3) if len(words) >= 25 else 0.2
-        up = element
-        while up is not None and not up.named:
-            up = up.parent
-        points *= NAMED_POINTS if up is not None else 1
+        points *= NAMED_POINTS if id(element) in named else 1
         up, level = element.parent if element.tag in PARAGRAPHS and element.parent else element, 0
-        while up is not None:
+        while up is not None and level < LEVELS:
             up.strength += points if level == 0 else 0
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             up, level = up.parent, level + 1
-    order = _in_order(root)
     for element in reversed(order):
         if element.parent is not None:
             for name in ("size", "links", "n_links"):
@@ -249,21 +273,31 @@ def _title_holder(order: list[Element]) -> Element | None:
     return (_above(titles[0], ("article",)) or _above(titles[0], ("main",))) if len(titles) == 1 else None
 
 
+def _paragraphs_beside(order: list[Element], title: Element) -> int:
+    """The most paragraphs of prose in one container outside the title's element."""
+    inside = _within(order, lambda e: e is title)
+    counts: Counter[int] = Counter(id(e.parent) for e in order if e.prose and e.tag in PARAGRAPHS and id(e) not in inside)
+    return max(counts.values(), default=0)
+
+
 def _kept(order: list[Element], texts: dict[int, str]) -> tuple[set[int], set[int]]:
     """The container with the siblings that belong to it, and article elements within that do not."""
     choices = [e for e in order if e.size and not e.out and e.tag not in PARAGRAPHS and e.tag not in INLINE and e.tag != "#root"]
     title = _title_holder(order)
     if title is not None:
-        title.points += TITLE
-        around = _line(title)
-        for element in choices:
-            if element is title:
-                break
-            if id(element) not in around:
-                element.points *= BEFORE_TITLE
+        if _paragraphs_beside(order, title) >= RUN:
+            title.points += min(max(title.points, 0), TITLE)
+        else:  # nothing else reads like an article, only single blocks such as notices
+            title.points += TITLE_ALONE
+            around = _line(title)
+            for element in choices:
+                if element is title:
+                    break
+                if id(element) not in around:
+                    element.points *= BEFORE_TITLE
     best = max(choices or [order[0]], key=lambda e: e.points)
     top = _above(best, ("article",)) or _above(best, ("main",)) or best
-    teasers = _teasers(order, best, title)
+    teasers = _teasers(order, best, title, top)
     while top.parent is not None and top.parent.tag not in ("#root", "body", "html") and sum(1 for e in top.parent.children if e.size) == 1:
         top = top.parent
     if top.parent is None:
@@ -307,19 +341,21 @@ def _line(element: Element | None) -> set[int]:
     return out
 
 
-def _teasers(order: list[Element], best: Element, title: Element | None) -> set[int]:
+def _teasers(order: list[Element], best: Element, title: Element | None, top: Element) -> set[int]:
     """Outer article elements that earned little, or by links, and named ones beside the strongest part of the page."""
     core = max(reversed(order), key=lambda e: e.own)
     around = _line(core) | _line(best)
     linked = core.size and core.links >= 0.25 * core.size
     in_article = _above(core, ("article",)) is not None  # then articles without links may be short parts of it
     out = set()
+    articles, in_core, in_top = (_within(order, test) for test in (lambda e: e.tag == "article", lambda e: e is core, lambda e: e is top))
     for e in order:
-        if e.tag == "article" and e.size and e is not title and id(e) not in around and not _above(e.parent, ("article",)) and id(core) not in _line(e.parent):
+        beside = e.parent is None or id(e.parent) not in in_core
+        if e.tag == "article" and e.size and e is not title and id(e) not in around and (e.parent is None or id(e.parent) not in articles) and beside:
             if (e.strength < 0.2 * core.own and (e.n_links or not in_article)) or (e.links >= 0.25 * e.size and not linked):
                 out.add(id(e))
         # outside articles a named element has to hold the strongest part
-        if e.named and e.size and id(e) not in around and not _above(e, ("article",)) and id(core) not in _line(e.parent):
+        if e.named and e.size and id(e) not in around and id(e) not in articles and beside and not (e.subject and id(e) in in_top):
             out.add(id(e))
     return out
 
@@ -329,24 +365,24 @@ def _menus(order: list[Element], blocks: list[tuple[Element, str]], top: set[int
     lists = {id(e): e for e in order if e.tag in ("ul", "ol") and e.n_links >= 2 and e.links >= 0.8 * e.size}
     before: dict[int, str] = {}
     words_in: dict[int, list[str]] = {}
+    around: dict[int, Element | None] = {}  # the innermost list that an element lies in
+    for e in order if lists else ():
+        around[id(e)] = e if id(e) in lists else around.get(id(e.parent)) if e.parent is not None else None
     last, last_words = None, ""
     for element, words in blocks if lists else ():
-        up = element
-        while up is not None:
-            if id(up) in lists:
-                if id(up) not in words_in:
-                    before[id(up)] = "" if last is None else last_words if last.tag not in HEADINGS | {"h4", "h5", "h6"} else "heading:"
-                words_in.setdefault(id(up), []).append(words)
-            up = up.parent
+        up, level = around[id(element)], 0
+        while up is not None and level < LEVELS:
+            if id(up) not in words_in:
+                before[id(up)] = "" if last is None else last_words if last.tag not in HEADINGS | {"h4", "h5", "h6"} else "heading:"
+            words_in.setdefault(id(up), []).append(words)
+            up, level = around[id(up.parent)] if up.parent is not None else None, level + 1
         last, last_words = element, words
+    chosen = _within(order, lambda e: id(e) in top and e.tag not in ("body", "html", "#root"))
     out = set()
     for key, e in lists.items():
-        chosen, up = False, e.parent
-        while up is not None and up.tag not in ("body", "html", "#root"):
-            chosen |= id(up) in top
-            up = up.parent
         led = before.get(key, "")[-1:] in tuple(".:!?…;。：")
-        if not chosen or (e.links >= e.size and not led and all(len(x) <= SHORT_LINK for x in words_in.get(key, []))):
+        inside = e.parent is not None and id(e.parent) in chosen
+        if not inside or (e.links >= e.size and not led and all(len(x) <= SHORT_LINK for x in words_in.get(key, []))):
             out.add(key)
     return out
 
@@ -363,15 +399,9 @@ def main_text(html: str | None) -> str:
         texts: dict[int, str] = {id(e): words for e, words in blocks}
         top, teasers = _kept(order, texts)
         menus = _menus(order, blocks, top)
-        out = []
-        for element, words in blocks:
-            inside, menu, up = False, False, element
-            while up is not None:
-                inside |= id(up) in top
-                menu |= id(up) in teasers or id(up) in menus
-                up = up.parent
-            if inside and not menu:
-                out.append(words)
+        inside = _within(order, lambda e: id(e) in top)
+        left_out = _within(order, lambda e: id(e) in teasers or id(e) in menus)
+        out = [words for element, words in blocks if id(element) in inside and id(element) not in left_out]
         if out:
             return "\n\n".join(out)
     return ""
