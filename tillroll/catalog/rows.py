@@ -449,7 +449,7 @@ def cleaning_log(t):
 
 @query(
     "cleaning_decisions",
-    "issue:s count:l of_which_not_cancelled:l",
+    "issue:s count:l of_which_not_cancelled:l treatment:s reason:s impact:s",
     f"""SELECT unnest(['Exact duplicate rows', 'UnitPrice <= 0', 'Negative Quantity', 'Cancellation invoices',
                        'Missing CustomerID', 'Missing Description', 'Not in positive sales']) AS issue,
                unnest([n_raw - n_full, (SELECT count(*) FROM t_raw WHERE UnitPrice <= 0),
@@ -458,7 +458,13 @@ def cleaning_log(t):
                        (SELECT count(*) FROM t_raw WHERE CustomerID IS NULL),
                        (SELECT count(*) FROM t_raw WHERE Description IS NULL), n_clean - n_pos]) AS "count",
                unnest([NULL, NULL, NULL, NULL, NULL, NULL,
-                       (SELECT count(*) FROM t_valid WHERE NOT IsCancellation AND NOT Quantity > 0)]) AS of_which_not_cancelled
+                       (SELECT count(*) FROM t_valid WHERE NOT IsCancellation AND NOT Quantity > 0)]) AS of_which_not_cancelled,
+               unnest(['dropped', 'flagged, dropped_from cleaned', 'flagged, dropped_from positive_sales', 'flagged, dropped_from positive_sales',
+                       'kept', 'kept', 'dropped_from positive_sales']) AS treatment,
+               unnest(['row_number over the base columns > 1', 'IsZeroPrice or IsNegativePrice', 'IsNegativeQuantity', 'IsCancellation',
+                       'CustomerID is null', 'Description is null', 'IsCancellation or Quantity <= 0']) AS reason,
+               unnest(['full, cleaned, positive_sales', 'cleaned, positive_sales', 'positive_sales', 'positive_sales',
+                       'customer tables', 'none', 'positive_sales']) AS impact
         FROM ({_FACTS})""",
 )
 def cleaning_decisions(t):

@@ -56,14 +56,14 @@ def cleaning_log(df: DataFrame) -> DataFrame:
     """Rows before, removed and after each step of the job, with the reason."""
     raw, distinct, cleaned, positive = (F.col(c) for c in ("raw", "distinct", "cleaned", "positive"))
     steps = [
-        ("Initial raw dataset", raw, raw, "As scanned"),
-        ("Remove exact duplicates", raw, distinct, "Equal lines are entered twice"),
-        ("Flag cancellation invoices", distinct, distinct, "Flag column only"),
-        ("Flag negative/zero quantities", distinct, distinct, "Flag columns only"),
-        ("Flag zero/negative prices", distinct, distinct, "Flag columns only"),
-        ("Remove UnitPrice <= 0", distinct, cleaned, "No amount without a price"),
-        ("Add amount and calendar columns", cleaned, cleaned, "Derived columns only"),
-        ("Keep positive sales", cleaned, positive, "Cancellations and empty quantities are no sales"),
+        ("Initial raw dataset", raw, raw, "scan"),
+        ("Remove exact duplicates", raw, distinct, "dropped: equal in all base columns"),
+        ("Flag cancellation invoices", distinct, distinct, "flagged: IsCancellation"),
+        ("Flag negative/zero quantities", distinct, distinct, "flagged: IsNegativeQuantity, IsZeroQuantity"),
+        ("Flag zero/negative prices", distinct, distinct, "flagged: IsZeroPrice, IsNegativePrice"),
+        ("Remove UnitPrice <= 0", distinct, cleaned, "dropped: UnitPrice is not above 0"),
+        ("Add amount and calendar columns", cleaned, cleaned, "added: TotalAmount and parts of InvoiceDate"),
+        ("Keep positive sales", cleaned, positive, "dropped: IsCancellation, or Quantity is not above 0"),
     ]
     rows = [
         {
@@ -87,14 +87,15 @@ def cleaning_decisions(df: DataFrame) -> DataFrame:
     """
     f = {c: F.col(c) for c in cleaning_facts(df).columns}
     nothing = F.lit(None).cast("long")
+    # treatment: what happens to the lines; reason: the test that finds them; impact: the row sets that lack them
     issues = [
-        ("Exact duplicate rows", f["raw"] - f["distinct"], nothing, "One copy kept", "Repeated entry of one line", "Totals count each line once"),
-        ("UnitPrice <= 0", f["raw_bad_price"], nothing, "Flagged; left out of the cleaned set", "Price unknown or invalid", "Stays available in the flagged set"),
-        ("Negative Quantity", f["raw_negative_quantity"], nothing, "Flagged; left out of positive sales", "Goods returned", "Stays available for return studies"),
-        ("Cancellation invoices", f["raw_cancelled"], nothing, "Flagged", "A cancellation is a real event", "Each study filters as it needs"),
-        ("Missing CustomerID", f["raw_no_customer"], nothing, "Kept", "The sale itself is valid", "Customer studies leave these lines out"),
-        ("Missing Description", f["raw_no_text"], nothing, "Kept without a filled-in text", "Amounts do not need the text", "Product labels show a placeholder"),
-        ("Not in positive sales", f["cleaned"] - f["positive"], f["kept_sale_without_quantity"], "Left out of positive sales", "Only lines that earn revenue count", "Sales figures exclude these lines"),
+        ("Exact duplicate rows", f["raw"] - f["distinct"], nothing, "dropped", "row_number over the base columns > 1", "full, cleaned, positive_sales"),
+        ("UnitPrice <= 0", f["raw_bad_price"], nothing, "flagged, dropped_from cleaned", "IsZeroPrice or IsNegativePrice", "cleaned, positive_sales"),
+        ("Negative Quantity", f["raw_negative_quantity"], nothing, "flagged, dropped_from positive_sales", "IsNegativeQuantity", "positive_sales"),
+        ("Cancellation invoices", f["raw_cancelled"], nothing, "flagged, dropped_from positive_sales", "IsCancellation", "positive_sales"),
+        ("Missing CustomerID", f["raw_no_customer"], nothing, "kept", "CustomerID is null", "customer tables"),
+        ("Missing Description", f["raw_no_text"], nothing, "kept", "Description is null", "none"),
+        ("Not in positive sales", f["cleaned"] - f["positive"], f["kept_sale_without_quantity"], "dropped_from positive_sales", "IsCancellation or Quantity <= 0", "positive_sales"),
     ]
     rows = [
         {
