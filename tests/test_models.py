@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tillroll.operators import classifiers, narrative, scaling, scores, segments, vectors
@@ -172,6 +173,29 @@ def test_kmeans(blobs):
     assert {"PC1", "PC2"} <= set(projected.columns) and 0 < sum(ratios) <= 1.0001
 
 
+def test_shared_passes_equal_single_fits(spark, blobs):
+    x = np.array([r.features.toArray() for r in blobs.collect()])
+    points = blobs.select(vector_to_array("features").alias("x")).repartition(3)
+    starts = [x[[0, 1, 2]], x[[0, 20, 40]], x[[5, 6]], x[[3, 17, 33, 44]]]
+    together = segments.lloyd(points, starts)
+    for start, got in zip(starts, together):
+        alone = segments.lloyd(points, [start])[0]
+        assert np.allclose(alone.centres, got.centres) and alone.cost == pytest.approx(got.cost)
+        c = start.copy()
+        for _ in range(100):
+            near = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            c = np.array([x[near == j].mean(0) if (near == j).any() else c[j] for j in range(len(c))])
+        assert np.allclose(c, got.centres, atol=1e-3)
+        assert got.cost == pytest.approx(((x[:, None] - got.centres[None]) ** 2).sum(2).min(1).sum())
+        labels = [r.Cluster for r in got.label(blobs).orderBy("id").collect()]
+        assert labels == ((x[:, None] - got.centres[None]) ** 2).sum(2).argmin(1).tolist()
+    best = segments.fit_kmeans(blobs, 3)
+    singles = segments.lloyd(points, segments.starting_centres(points.persist(), [(3, 42 + i) for i in range(10)]))
+    assert best.cost == pytest.approx(min(m.cost for m in singles))
+    with pytest.raises(ValueError):
+        segments.fit_kmeans(blobs.limit(2), 3)
+
+
 def test_profiles_and_texts(spark):
     rows = [(i, 5 + i % 10 + 40 * (i // 10), 1 + i // 10, 10.0 * (1 + i // 10) + i, i // 10) for i in range(30)]
     table = spark.createDataFrame(rows, "CustomerID long, Recency long, Frequency long, Monetary double, Cluster int")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -33,54 +35,153 @@ PROFILE_COLUMNS = [
 ]
 
 
+START_ROWS = 4096  # points that starting centres are drawn from
+
+
 def check_vectors(df: DataFrame, features: str) -> None:
     if features not in df.columns or not isinstance(df.schema[features].dataType, VectorUDT):
         raise ValueError(f"{features} must be a vector column")
 
 
-def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = SEED, n_init: int = 10) -> KMeansModel:
-    """The cheapest of ``n_init`` K-Means fits with consecutive seeds."""
+@dataclass
+class Centres:
+    """A fitted segmentation: its centres, a row each, and the summed squared distance to the nearest one."""
+
+    centres: np.ndarray
+    cost: float
+
+    @property
+    def k(self) -> int:
+        return len(self.centres)
+
+    def label(self, df: DataFrame, features: str = "features") -> DataFrame:
+        """The rows with the place of the nearest centre as ``Cluster``; the first wins ties."""
+        x = vector_to_array(features)
+        away = F.array(*[_squares(x[i] - F.lit(float(v)) for i, v in enumerate(c)) for c in self.centres])
+        return df.withColumn("_away", away).withColumn("Cluster", (F.array_position("_away", F.array_min("_away")) - 1).cast("int")).drop("_away")
+
+
+def starting_centres(points: DataFrame, seeds: Sequence[tuple[int, int]], rows: int = START_ROWS) -> list[np.ndarray]:
+    """For each (k, seed) k starting centres: distance-weighted draws among ``rows`` distinct points,
+    chosen by hash, improved on those points alone."""
+    some = points.distinct().orderBy(F.xxhash64("x"), "x").limit(rows).collect()  # bounded by ``rows``
+    x = np.array([r["x"] for r in some])
+    out = []
+    for k, seed in seeds:
+        if len(x) < k:
+            raise ValueError(f"{k} segments need at least as many distinct points, found {len(x)}")
+        rng = np.random.default_rng(seed)
+        chosen = [int(rng.integers(len(x)))]
+        near = ((x - x[chosen[0]]) ** 2).sum(axis=1)
+        while len(chosen) < k:
+            chosen.append(int(rng.choice(len(x), p=near / near.sum())))
+            near = np.minimum(near, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+        centres = x[chosen]
+        for _ in range(100):  # settled among the drawn points, so that few passes over all points are left
+            near = np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1).argmin(axis=1)
+            moved = np.stack([x[near == j].mean(axis=0) if (near == j).any() else centres[j] for j in range(k)])
+            if np.allclose(moved, centres, atol=1e-6):
+                break
+            centres = moved
+        out.append(centres)
+    return out
+
+
+def _assigned(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """For each model: points and coordinate sums of every centre, and the cost. One scan answers all models.
+
+    A task adds its points up by (model, centre), so only one row for each of them leaves it.
+    """
+    numbers = list(models)
+    cuts = np.cumsum([0, *(len(models[m]) for m in numbers)])
+    flat = np.concatenate([models[m] for m in numbers])
+    width = flat.shape[1]
+
+    def run(batches):
+        count, total, cost = np.zeros(len(flat)), np.zeros(flat.shape), np.zeros(len(flat))
+        for batch in batches:
+            x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            for at in range(0, len(x), 4096):
+                part = x[at : at + 4096]
+                away = np.stack([((part - c) ** 2).sum(axis=1) for c in flat], axis=1)
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    nearest = away[:, a:b].argmin(axis=1)
+                    count[a:b] += np.bincount(nearest, minlength=b - a)
+                    cost[a:b] += np.bincount(nearest, away[np.arange(len(part)), a + nearest], b - a)
+                    for j in range(width):
+                        total[a:b, j] += np.bincount(nearest, part[:, j], b - a)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(flat)), pa.int32()), pa.array(count), pa.array(cost), pa.array(total.tolist(), pa.list_(pa.float64()))],
+            ["place", "n", "cost", "sums"],
+        )
+
+    sums = [F.sum(F.col("sums")[j]).alias(f"s{j}") for j in range(width)]
+    found = points.select("x").mapInArrow(run, "place int, n double, cost double, sums array<double>").groupBy("place").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *sums)
+    n, cost, total = np.zeros(len(flat)), np.zeros(len(flat)), np.zeros(flat.shape)
+    for r in found.collect():  # one row for each centre of each model
+        n[r["place"]], cost[r["place"]] = r["n"], r["cost"]
+        total[r["place"]] = [r[f"s{j}"] for j in range(width)]
+    return {m: (n[a:b], total[a:b], float(cost[a:b].sum())) for m, a, b in zip(numbers, cuts, cuts[1:])}
+
+
+def lloyd(points: DataFrame, starts: Sequence[np.ndarray], rounds: int = 300, tolerance: float = 1e-4) -> list[Centres]:
+    """K-Means from each set of starting centres, all in the same passes over ``points`` (x array<double>).
+
+    A model whose centres moved no further than ``tolerance`` leaves the passes. A centre without points stays.
+    """
+    centres = dict(enumerate(np.array(c, float) for c in starts))
+    active = set(centres)
+    for _ in range(rounds):
+        if not active:
+            break
+        for m, (n, total, _) in _assigned(points, {m: centres[m] for m in sorted(active)}).items():
+            moved = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centres[m])
+            if ((moved - centres[m]) ** 2).sum(axis=1).max() <= tolerance**2:
+                active.discard(m)
+            centres[m] = moved
+    final = _assigned(points, centres)
+    return [Centres(centres[m], final[m][2]) for m in centres]
+
+
+def _restarts(df: DataFrame, k_values: Sequence[int], features: str, seed: int, n_init: int) -> dict[int, Centres]:
+    """The cheapest of ``n_init`` fits for each k."""
     check_vectors(df, features)
-    if not isinstance(k, int) or k < 2:
-        raise ValueError(f"k must be an integer of at least 2, got {k!r}")
-    best = None
-    for restart in range(n_init):
-        model = KMeans(k=k, seed=seed + restart, featuresCol=features, predictionCol="Cluster", maxIter=300).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    for k in k_values:
+        if not isinstance(k, int) or k < 2:
+            raise ValueError(f"k must be an integer of at least 2, got {k!r}")
+    points = df.select(vector_to_array(features).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        seeds = [(k, seed + restart) for k in k_values for restart in range(n_init)]
+        models = lloyd(points, starting_centres(points, seeds))
+    finally:
+        points.unpersist()
+    return {k: min((m for m in models if m.k == k), key=lambda m: m.cost) for k in k_values}
+
+
+def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = SEED, n_init: int = 10) -> Centres:
+    """The cheapest of ``n_init`` K-Means fits with consecutive seeds."""
+    return _restarts(df, [k], features, seed, n_init)[k]
 
 
 def kmeans_labels(df: DataFrame, k: int, features: str = "features", seed: int = SEED, n_init: int = 10) -> DataFrame:
     """The rows with their ``Cluster``; labels stay beside the keys."""
-    model = fit_kmeans(df, k, features, seed, n_init)
-    return model.transform(df)
+    return fit_kmeans(df, k, features, seed, n_init).label(df, features)
 
 
 def kmeans_sweep(
-    df: DataFrame,
-    features: str = "features",
-    k_values: Iterable[int] = K_RANGE,
-    seed: int = SEED,
-    n_init: int = 10,
-    metric: str = "squaredEuclidean",
+    df: DataFrame, features: str = "features", k_values: Iterable[int] = K_RANGE, seed: int = SEED, n_init: int = 10, metric: str = "squaredEuclidean"
 ) -> DataFrame:
-    """Cost and silhouette for each k. The vectors are kept in memory or on disk for the sweep."""
-    check_vectors(df, features)
-    size = len(df.select(features).first()[0])
-    points = df.select(features, *[vector_to_array(features)[i].alias(f"x{i}") for i in range(size)])
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    names = [f"x{i}" for i in range(size)]
-    try:
-        rows = []
-        for k in k_values:
-            model = fit_kmeans(points, k, features, seed, n_init)
-            labelled = model.transform(points)
-            score = silhouette(labelled, names, "Cluster", metric).first()[0]
-            rows.append((k, float(model.summary.trainingCost), None if score is None else float(score)))
-    finally:
-        points.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_score double")
+    """Cost and silhouette for each k; all fits of all k share their passes."""
+    models = _restarts(df, list(k_values), features, seed, n_init)
+    width = len(next(iter(models.values())).centres[0])
+    names = [f"x{i}" for i in range(width)]
+    points = df.select(features, *[vector_to_array(features)[i].alias(n) for i, n in enumerate(names)])
+    rows = None
+    for k, model in models.items():
+        quality = silhouette(model.label(points, features), names, "Cluster", metric)
+        row = quality.select(F.lit(k).cast("int").alias("k"), F.lit(model.cost).alias("inertia"), F.col("silhouette").alias("silhouette_score"))
+        rows = row if rows is None else rows.unionAll(row)
+    return rows
 
 
 def best_k(sweep: DataFrame) -> int:
