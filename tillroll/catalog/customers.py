@@ -577,7 +577,7 @@ def log_loss(t):
     "sampled_predictions",
     "vec_id:l actual:i predicted:i hit:b",
     """SELECT vec_id, label AS actual, prediction AS predicted, label = prediction AS hit FROM t_vectors
-       ORDER BY md5(CAST(vec_id AS VARCHAR) || '-42'), vec_id LIMIT 16""",
+       ORDER BY md5(concat_ws('-', vec_id, label, prediction, 0, 42)), vec_id LIMIT 16""",
 )
 def sampled_predictions(t):
     return vectors.sampled_predictions(t.vector_scored, "vec_id", "label", "prediction")

@@ -522,21 +522,39 @@ def anomaly_examples(t):
     return union(outliers.anomaly_examples(t.full, t.positive), "kind")
 
 
+_KEY = ["InvoiceNo", "StockCode", "Quantity"]
+_SAMPLED = """
+SELECT InvoiceNo, StockCode, Quantity
+FROM (SELECT *, row_number() OVER (PARTITION BY InvoiceNo, StockCode, Quantity) - 1 AS copy FROM t_pos)
+ORDER BY md5(InvoiceNo || '-' || StockCode || '-' || CAST(Quantity AS VARCHAR) || '-' || CAST(copy AS VARCHAR) || '-42'),
+         InvoiceNo, StockCode, Quantity"""
+
+
 @query(
     "sample_n",
     "InvoiceNo:s StockCode:s Quantity:l",
-    """SELECT * FROM t_pos ORDER BY md5(InvoiceNo || '-' || StockCode || '-' || CAST(Quantity AS VARCHAR) || '-42'),
-              InvoiceNo, StockCode, Quantity LIMIT 50000""",
+    f"{_SAMPLED} LIMIT 50000",
 )
 def sample_n(t):
-    return hash_sample(t.positive, SAMPLE_ROWS, ["InvoiceNo", "StockCode", "Quantity"])
+    return hash_sample(t.positive.select(*_KEY), SAMPLE_ROWS, _KEY)
 
 
 @query(
     "sample_5000",
     "InvoiceNo:s StockCode:s Quantity:l",
-    """SELECT * FROM t_pos ORDER BY md5(InvoiceNo || '-' || StockCode || '-' || CAST(Quantity AS VARCHAR) || '-42'),
-              InvoiceNo, StockCode, Quantity LIMIT 5000""",
+    f"{_SAMPLED} LIMIT 5000",
 )
 def sample_5000(t):
-    return hash_sample(t.positive, 5000, ["InvoiceNo", "StockCode", "Quantity"])
+    return hash_sample(t.positive.select(*_KEY), 5000, _KEY)
+
+
+@query(
+    "scatter_sample",
+    "Year:l Quantity:l",
+    """SELECT "Year", Quantity
+       FROM (SELECT "Year", Quantity, row_number() OVER (PARTITION BY "Year", Quantity) - 1 AS copy FROM t_pos)
+       ORDER BY md5(CAST("Year" AS VARCHAR) || '-' || CAST(Quantity AS VARCHAR) || '-' || CAST(copy AS VARCHAR) || '-42') LIMIT 2000""",
+)
+def scatter_sample(t):
+    # Few distinct pairs, so nearly every drawn row is a copy.
+    return relations.scatter_sample(t.positive, "Year", "Quantity", 2000)

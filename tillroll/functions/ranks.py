@@ -2,7 +2,7 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer, and a window
 without a partition key runs in one task. The helpers below give the same exact numbers with
-work spread over partitions.
+work spread over partitions. All of them only build a plan: no job runs before the result is asked for.
 """
 
 from __future__ import annotations
@@ -12,71 +12,90 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions.columns import hash_key
-from tillroll.session import pinned
 
-ACCURACY = 100_000
+OUTER = 255  # cut points over all values of a group
+INNER = 255  # cut points inside a stretch between two of them
+EDGES = 1023  # cut points of running totals
 
 
-def rank_cells(
-    long: DataFrame, by: Sequence[str], probs: Sequence[float], value: str = "value", accuracy: int = ACCURACY
-) -> DataFrame:
-    """Compress each group's sorted values into cells whose rank range is known exactly.
+def below(cuts: str, key: str, points: int) -> str:
+    """SQL: how many entries of the sorted array ``cuts`` (at most ``points`` = 2**k - 1) are below ``key``."""
+    widths = ", ".join(str(1 << k) for k in reversed(range(points.bit_length())))
+    return f"aggregate(array({widths}), 0, (lo, step) -> IF(lo + step <= size({cuts}) AND {cuts}[lo + step - 1] < {key}, lo + step, lo))"
+
+
+def find_rank(parts: str, rank: str, before: str) -> str:
+    """SQL: (before, place) of the entry of ``parts`` (ordered, with ``rows``) that holds a zero-based rank."""
+    start = f"named_struct('before', bigint({before}), 'place', 0, 'found', false)"
+    inside = f"(a.found OR {rank} < a.before + z.rows)"
+    step = f"named_struct('before', IF({inside}, a.before, a.before + z.rows), 'place', IF({inside}, a.place, a.place + 1), 'found', {inside})"
+    return f"aggregate({parts}, {start}, (a, z) -> {step})"
 
-    A quantile sketch first brackets every wanted probability. One aggregation then counts the
-    rows: inside a bracket per distinct value, between brackets as one cell. So a group shrinks to
-    the few values near the wanted ranks, plus one counted cell per gap. The sketch only decides
-    what is kept apart; counts come from the rows, so ranks are exact.
 
-    ``by`` must be a bounded set of groups (measure name, month, cluster): the brackets, one row
-    for each group, are broadcast.
+def attach(df: DataFrame, state: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each row with its group's row of ``state`` (bounded groups, one small row each) as a struct ``s``."""
+    if not by:
+        return df.withColumn("s", state.select(F.struct("*")).scalar())
+    right = state.select(*[F.col(b).alias(f"_by_{b}") for b in by], F.struct(*[c for c in state.columns if c not in by]).alias("s"))
+    on = F.lit(True)
+    for b in by:
+        on = on & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
+    return df.join(F.broadcast(right), on).drop(*[f"_by_{b}" for b in by])
+
 
-    Columns out: ``by``, ``n``, ``first_rank``, ``last_rank`` (zero based), ``low``, ``high``.
+def values_at(long: DataFrame, by: Sequence[str], ranks: dict[str, str], value: str = "value") -> DataFrame:
+    """The values at zero-based ranks of each group; ``ranks`` are SQL expressions of the group's size ``n``.
+
+    Selection by narrowing. Equal values are counted once. Cut points (a sketch over the distinct values)
+    part a group into stretches; their exact row counts tell which stretch holds a rank, and cut points
+    inside every stretch part that one again. Its values, about one in OUTER * INNER, are then listed and
+    the rank is read off. Sketches only choose where to cut: whichever stretch a rank falls into is
+    the one that is kept, so the answer does not depend on how good a cut is.
+
+    ``by`` must be a bounded set of groups (measure name, month, cluster). Columns out: ``by``, ``n``, one per rank.
     """
     by = list(by)
-    slack = 4.0 / accuracy
-    starts = [max(0.0, p - slack) for p in sorted(probs)]
-    ends = [min(1.0, p + slack) for p in sorted(probs)]
-    x = F.col(value)
-    edges = long.groupBy(*by).agg(
-        F.percentile_approx(x, starts, accuracy).alias("starts"),
-        F.percentile_approx(x, ends, accuracy).alias("ends"),
+    x = F.col(value).alias("x")
+    counts = long.filter(F.col(value).isNotNull()).groupBy(*by, x).agg(F.count(F.lit(1)).alias("c"))
+    grid = lambda points: F.expr(f"array({', '.join(f'{(i + 1) / (points + 1)}D' for i in range(points))})")
+
+    cuts = counts.groupBy(*by).agg(F.percentile_approx("x", grid(OUTER), 8 * OUTER).alias("cuts"))
+    outer = attach(counts, cuts, by).withColumn("z", F.expr(below("s.cuts", "x", OUTER)))
+    outer = outer.groupBy(*by, "z").agg(
+        F.sum("c").alias("rows"), F.percentile_approx("x", grid(INNER), 8 * INNER).alias("inner"), F.first("s.cuts").alias("cuts")
     )
-    if by:
-        keys = [F.col(f"l.{b}").eqNullSafe(F.col(f"e.{b}")) for b in by]
-        on = keys[0]
-        for k in keys[1:]:
-            on = on & k
-        placed = long.alias("l").join(F.broadcast(edges.alias("e")), on)
-        placed = placed.select(*[F.col(f"l.{b}").alias(b) for b in by], F.col(f"l.{value}").alias("x"), "starts", "ends")
-    else:
-        placed = long.select(x.alias("x"), edges.select(F.struct("starts", "ends")).scalar().alias("e"))
-        placed = placed.select("x", "e.starts", "e.ends")
-
-    # Texts instead of column objects: the driver builds dozens of these terms in one call each.
-    inside = " OR ".join(f"x BETWEEN starts[{i}] AND ends[{i}]" for i in range(len(starts)))
-    zone = " + ".join(f"int(x > ends[{i}])" for i in range(len(ends)))
-    cells = (
-        placed.select(*by, "x", F.expr(zone).alias("zone"), F.expr(f"CASE WHEN {inside} THEN x END").alias("kept"))
-        .groupBy(*by, "zone", "kept")
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
+    parts = outer.groupBy(*by).agg(
+        F.sum("rows").alias("n"), F.first("cuts").alias("cuts"), F.expr("array_sort(collect_list(struct(z, rows, inner)))").alias("parts")
     )
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    running = F.sum("rows").over(whole.orderBy("low").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return cells.select(
+    names = list(ranks)
+    wanted = ", ".join(f"struct({i} AS t, bigint({r}) AS r)" for i, r in enumerate(ranks.values()))
+    found = parts.select(*by, "n", "cuts", "parts", F.expr(f"transform(array({wanted}), w -> struct(w.t, w.r, {find_rank('parts', 'w.r', '0')} AS at))").alias("w"))
+    inner_state = found.select(
+        *by,
+        "n",
+        F.expr("transform(w, w -> struct(w.t, w.r, w.at.before AS before, parts[w.at.place].z AS z, parts[w.at.place].inner AS inner))").alias("w"),
+        "cuts",
+    ).select(
         *by,
-        F.sum("rows").over(whole).alias("n"),
-        (running - F.col("rows")).alias("first_rank"),
-        (running - 1).alias("last_rank"),
-        "low",
-        "high",
+        "n",
+        F.expr("transform(w, w -> struct(w.t, w.r, w.before, w.inner, IF(w.z > 0, cuts[greatest(w.z - 1, 0)], NULL) AS lo, IF(w.z < size(cuts), cuts[least(w.z, size(cuts) - 1)], NULL) AS hi))").alias("w"),
     )
-
-
-def value_at(rank: str) -> str:
-    """SQL aggregate over cells: the value at a zero-based rank, or an error if a cell hides it."""
-    return f"""max(CASE WHEN {rank} BETWEEN first_rank AND last_rank THEN
-        CASE WHEN {rank} = first_rank THEN low WHEN {rank} = last_rank THEN high WHEN low = high THEN low
-             ELSE double(raise_error('rank outside its bracket: raise the accuracy')) END END)"""
+    inside = "filter(s.w, w -> (w.lo IS NULL OR x > w.lo) AND (w.hi IS NULL OR x <= w.hi))"
+    hit = attach(counts, inner_state, by).withColumn("w", F.expr(f"explode({inside})"))
+    hit = hit.withColumn("y", F.expr(below("w.inner", "x", INNER)))
+    hit = hit.groupBy(*by, F.col("w.t").alias("t"), "y").agg(F.sum("c").alias("rows"), F.first(F.struct("s.n", "w.r", "w.before", "w.lo", "w.hi", "w.inner")).alias("s"))
+    hit = hit.groupBy(*by, "t").agg(F.first("s").alias("s"), F.expr("array_sort(collect_list(struct(y, rows)))").alias("parts"))
+    hit = hit.withColumn("at", F.expr(find_rank("parts", "s.r", "s.before")))
+    last = hit.groupBy(*by).agg(
+        F.first("s.n").alias("n"),
+        F.collect_list(F.expr("struct(t, s.r, at.before AS before, s.lo, s.hi, s.inner, parts[at.place].y AS y)")).alias("w"),
+    )
+    listed = attach(counts, last, by).withColumn("w", F.expr(f"explode({inside})")).filter(F.expr(f"w.y = {below('w.inner', 'x', INNER)}"))
+    listed = listed.groupBy(*by, F.col("w.t").alias("t")).agg(
+        F.first("s.n").alias("n"), F.first("w.r").alias("r"), F.first("w.before").alias("before"), F.expr("array_sort(collect_list(struct(x, c AS rows)))").alias("parts")
+    )
+    picked = listed.select(*by, "t", "n", F.expr(f"parts[{find_rank('parts', 'r', 'before')}.place].x").alias("x"))
+    return picked.groupBy(*by).agg(F.first("n").alias("n"), *[F.max(F.when(F.col("t") == i, F.col("x"))).alias(name) for i, name in enumerate(names)])
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), positive: bool = False) -> DataFrame:
@@ -87,56 +106,49 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), positive
     return long.filter(keep & ~F.isnan("value"))
 
 
-def quantiles(
-    long: DataFrame,
-    probs: dict[str, float],
-    by: Sequence[str] = (),
-    value: str = "value",
-    accuracy: int = ACCURACY,
-    approx: bool = False,
-) -> DataFrame:
+def quantiles(long: DataFrame, probs: dict[str, float], by: Sequence[str] = (), value: str = "value", approx: bool = False) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` for each group, one column per probability.
 
-    ``approx=True`` answers from the sketch alone: one pass, rank error ``1 / accuracy``.
+    ``approx=True`` answers from a sketch alone: one pass, rank error 1e-5.
     """
     if approx:
-        sketch = [F.percentile_approx(value, p, accuracy).alias(name) for name, p in probs.items()]
+        sketch = [F.percentile_approx(value, p, 100_000).alias(name) for name, p in probs.items()]
         return long.groupBy(*by).agg(*sketch)
-    cells = rank_cells(long, by, list(probs.values()), value, accuracy)
-    wanted = []
-    for name, p in probs.items():
-        position = f"(double({p!r}) * (n - 1))"
-        low, high = value_at(f"floor({position})"), value_at(f"ceil({position})")
-        weight = f"max({position} - floor({position}))"
-        wanted.append(F.expr(f"{low} + ({high} - {low}) * {weight}").alias(name))
-    return cells.groupBy(*by).agg(*wanted)
+    position = {name: f"(double({p!r}) * (n - 1))" for name, p in probs.items()}
+    ranks = {}
+    for name, at in position.items():
+        ranks[f"{name}~low"], ranks[f"{name}~high"] = f"floor({at})", f"ceil({at})"
+    ends = values_at(long, by, ranks, value)
+    out = [F.expr(f"`{name}~low` + (`{name}~high` - `{name}~low`) * ({at} - floor({at}))").alias(name) for name, at in position.items()]
+    return ends.select(*by, *out)
 
 
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probs: dict[str, float], by: Sequence[str] = (), positive: bool = False
 ) -> DataFrame:
-    """Quantiles of several columns in the same two passes; one row per group and column."""
+    """Quantiles of several columns in the same passes; one row per group and column."""
     return quantiles(melt(df, columns, by, positive), probs, [*by, "column"])
 
 
-def running_totals(
-    df: DataFrame, order: Sequence[Column], sums: dict[str, Column], by: Sequence[str] = ()
-) -> DataFrame:
-    """Add inclusive running sums over a sorted table of any size.
+def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """Add inclusive running sums over a table sorted by ascending ``order`` keys (nulls first), of any size.
 
-    The rows are range partitioned by ``by`` and ``order`` and pinned, so that every partition
-    holds one stretch of the order. Totals of the stretches (at most one row for each partition
-    and group boundary) give the offsets; inside a stretch a window finishes the sum. Rows must be
-    distinct in ``order`` within a group, so aggregate ties first.
+    Cut points are the keys of the EDGES rows with the smallest hashes, so they follow from the rows alone
+    and are the same wherever they are computed. They part the order into stretches of about equal
+    length; sums of the stretches (at most one row per cut and group) give the offsets, and a window
+    inside each stretch finishes the sum. Rows must be distinct in ``order`` within a group: aggregate ties first.
     """
     by = list(by)
-    staged = df.select("*", *[expr.alias(f"_w_{name}") for name, expr in sums.items()])
-    ranged = staged.repartitionByRange(*[F.col(b) for b in by], *order)
-    ranged = pinned(ranged.withColumn("_stretch", F.spark_partition_id()))
-
-    stretch_totals = ranged.groupBy(*by, "_stretch").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in sums])
+    names = [f"_k{i}" for i in range(len(order))]
+    keyed = df.select("*", *[k.alias(n) for k, n in zip(order, names)], *[e.alias(f"_w_{n}") for n, e in sums.items()])
+    key = F.struct(*by, *names)
+    sample = keyed.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(EDGES)
+    cuts = sample.agg(F.array_sort(F.collect_list("k")).alias("cuts")).scalar()
+    placed = keyed.withColumn("_cuts", cuts).withColumn("_key", key).withColumn("_stretch", F.expr(below("_cuts", "_key", EDGES))).drop("_cuts", "_key")
+
+    totals = placed.groupBy(*by, "_stretch").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in sums])
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stretch_totals.select(
+    offsets = totals.select(
         *[F.col(b).alias(f"_by_{b}") for b in by],
         F.col("_stretch").alias("_s"),
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
@@ -144,9 +156,9 @@ def running_totals(
     on = F.col("_stretch") == F.col("_s")
     for b in by:
         on = on & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    inside = Window.partitionBy("_stretch", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("*", *[F.sum(f"_w_{n}").over(inside).alias(f"_r_{n}") for n in sums])
-    joined = local.join(F.broadcast(offsets), on)
+    inside = Window.partitionBy("_stretch", *by).orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = placed.select("*", *[F.sum(f"_w_{n}").over(inside).alias(f"_r_{n}") for n in sums])
+    joined = local.join(F.broadcast(offsets), on)  # at most EDGES + 1 rows more than groups
     return joined.select(*df.columns, *[(F.col(f"_o_{n}") + F.col(f"_r_{n}")).alias(n) for n in sums])
 
 
@@ -174,16 +186,30 @@ def hash_ranks(df: DataFrame, key: Sequence[str], by: Sequence[str] = (), seed:
     return placed.select(*df.columns, (F.col("_offset") + F.col("_place")).alias(name))
 
 
+COPY_STEP = 4096
+
+
+def numbered_copies(df: DataFrame, name: str = "_copy") -> DataFrame:
+    """The same rows with equal ones numbered from 0; a frequent row is unfolded in two steps, so that
+    no array holds all its copies."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    steps_ = counted.withColumn("_step", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_STEP))))
+    last = F.least(F.col("_copies"), (F.col("_step") + 1) * COPY_STEP) - 1
+    return steps_.withColumn(name, F.explode(F.sequence(F.col("_step") * COPY_STEP, last))).drop("_copies", "_step")
+
+
 def hash_sample(df: DataFrame, n: int, key: Sequence[str] | None = None, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (all, if there are fewer), repeatable, without ordering the whole table.
+    """Exactly ``n`` rows (all, if there are fewer), repeatable and uniform, without ordering the whole table.
 
-    A histogram of the leading hash digits tells up to which bucket the first ``n`` rows reach;
-    only those rows are then ordered and cut.
+    Rows that share the key are told apart by their other columns, and equal rows by a number, so every row
+    has a hash of its own. A histogram of the leading hash digits tells up to which bucket the first
+    ``n`` rows reach; only those rows are then ordered and cut.
     """
-    key = list(key or df.columns)
-    hashed = df.withColumn("_hash", hash_key(seed, *key)).withColumn("_bucket", F.substring("_hash", 1, 4))
+    key = list(key or [])
+    parts = [*key, *[c for c in df.columns if c not in key], "_copy"]
+    hashed = numbered_copies(df).withColumn("_hash", hash_key(seed, *parts)).withColumn("_bucket", F.substring("_hash", 1, 4))
     counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     upto = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     reached = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(upto), F.lit(0)))
     last = reached.filter(F.col("_before") < n).agg(F.max("_bucket")).scalar()
-    return hashed.filter(F.col("_bucket") <= last).orderBy("_hash", *key).limit(n).drop("_hash", "_bucket")
+    return hashed.filter(F.col("_bucket") <= last).orderBy("_hash", *parts).limit(n).select(*df.columns)

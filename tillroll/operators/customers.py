@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions.columns import amount_of, line_amount, number, safe_divide, whole_days
-from tillroll.functions.ranks import rank_cells, value_at
+from tillroll.functions.ranks import values_at
 from tillroll.operators.explore import numeric_summary
 from tillroll.operators.prepare import Instant, instant, sales_lines
 from tillroll.schema import (
@@ -106,14 +106,8 @@ def temporal_split(df: DataFrame, column: str = "InvoiceDate", quantile: float =
     to the last timestamp.
     """
     micros = df.filter(F.col(column).isNotNull()).select(F.unix_micros(column).alias("value")).distinct()
-    cells = rank_cells(micros, [], [0.0, quantile, 1.0])
     index = f"greatest(0, least(floor(double({quantile!r}) * n), n - 1))"
-    picked = cells.agg(
-        F.max("n").alias("n_dates"),
-        F.min("low").alias("first"),
-        F.max("high").alias("last"),
-        F.expr(value_at(index)).cast("long").alias("cut"),
-    )
+    picked = values_at(micros, [], {"first": "0", "cut": index, "last": "n - 1"}).withColumnRenamed("n", "n_dates")
     spread = (F.col("first") + (F.col("last") - F.col("first")) * F.lit(quantile)).cast("long")
     cut = F.when(F.col("cut") <= F.col("first"), spread).otherwise(F.col("cut"))
     dates = picked.withColumn("cut", cut).select(

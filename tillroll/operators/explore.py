@@ -94,7 +94,7 @@ def categorical_frequencies(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS
     counts = value_counts(df, present(df, columns))
     total = df.agg(row_count()).scalar()
     shares = counts.withColumn("percentage", F.bround(percent(F.col("count"), total), digits))
-    order = [F.desc("count"), F.asc_nulls_first("value")]
+    order = [-F.col("count"), F.col("value")]
     summed = running_totals(shares, order, {"running": F.col("percentage")}, by=["column"])
     return summed.withColumn("cumulative_percentage", F.bround("running", digits)).drop("running")
 

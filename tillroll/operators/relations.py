@@ -12,7 +12,6 @@ from tillroll.functions.ranks import column_quantiles, hash_sample, melt, runnin
 from tillroll.schema import MEASURES, present
 
 SAMPLE_ROWS = 50_000
-COPY_STEP = 4096
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = MEASURES) -> DataFrame:
@@ -36,7 +35,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = MEASURES) -> Data
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank of each distinct value of each column; equal values share the mean of their places."""
     counts = melt(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-    placed = running_totals(counts, [F.asc("value")], {"upto": F.col("c")}, by=["column"])
+    placed = running_totals(counts, [F.col("value")], {"upto": F.col("c")}, by=["column"])
     return placed.select("column", "value", (F.col("upto") - (F.col("c") - 1) / 2).alias("rank"))
 
 
@@ -93,13 +92,8 @@ def pair_study(df: DataFrame, x: str, y: str, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def scatter_sample(df: DataFrame, x: str, y: str, n: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
-    """``n`` positive pairs drawn uniformly: copies of a pair are numbered, so that each has a hash of its own."""
-    counted = positive_pairs(df, x, y).groupBy(x, y).agg(F.count(F.lit(1)).alias("_copies"))
-    # a frequent pair is unfolded in two steps, so that no row holds all its copies
-    steps = counted.withColumn("_step", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_STEP))))
-    last = F.least(F.col("_copies"), (F.col("_step") + 1) * COPY_STEP) - 1
-    copies = steps.withColumn("_copy", F.explode(F.sequence(F.col("_step") * COPY_STEP, last)))
-    return hash_sample(copies.select(x, y, "_copy"), n, [x, y, "_copy"], seed).drop("_copy")
+    """``n`` positive pairs drawn uniformly, repeated pairs as often as they are drawn."""
+    return hash_sample(positive_pairs(df, x, y), n, [x, y], seed)
 
 
 def clip_p99(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -241,7 +241,7 @@ def revenue_concentration(sales: DataFrame, shares: Sequence[float] = (0.01, 0.1
     """
     ranked = running_totals(
         product_revenue(sales),
-        [F.desc("revenue"), F.asc("StockCode")],
+        [-F.col("revenue"), F.col("StockCode")],
         {"running": F.col("revenue"), "place": F.lit(1)},
     )
     total = ranked.agg(F.struct(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n"))).scalar()
@@ -262,7 +262,7 @@ def gini(table: DataFrame, value: str = "revenue") -> DataFrame:
     equal values share one row, so the running count is all that has to be spread over partitions.
     """
     ties = table.filter(F.col(value) > 0).groupBy(F.col(value).alias("x")).agg(F.count(F.lit(1)).alias("c"))
-    ranked = running_totals(ties, [F.asc("x")], {"upto": F.col("c")})
+    ranked = running_totals(ties, [F.col("x")], {"upto": F.col("c")})
     rank_sum = F.col("c") * (F.col("upto") * 2 - F.col("c") + 1) / 2
     sums = ranked.agg(
         F.sum(F.col("x") * rank_sum).alias("weighted"),

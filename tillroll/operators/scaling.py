@@ -80,7 +80,7 @@ def encode_label(df: DataFrame, columns: Sequence[str], exclude_ids: bool = True
     for c in _usable(df, columns, exclude_ids):
         text = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
         distinct = df.select(text.alias("_level")).distinct()
-        codes = running_totals(distinct, [F.asc("_level")], {"_place": F.lit(1)})
+        codes = running_totals(distinct, [F.col("_level")], {"_place": F.lit(1)})
         codes = codes.select("_level", (F.col("_place") - 1).cast("int").alias(f"{c}_Encoded"))
         if codes.limit(MAX_LEVELS + 1).count() <= MAX_LEVELS:
             codes = F.broadcast(codes)

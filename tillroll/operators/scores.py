@@ -92,7 +92,7 @@ def score_steps(df: DataFrame, label: str = "label", score: str = "score") -> Da
     counts = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
-    return running_totals(counts, [F.desc("threshold")], {"tp": F.col("pos"), "fp": F.col("neg")})
+    return running_totals(counts, [-F.col("threshold")], {"tp": F.col("pos"), "fp": F.col("neg")})
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
