@@ -77,6 +77,17 @@ def test_awkward_rows(odd_documents, no_documents):
     assert neardup.deduplicated(no_documents).count() == 0
 
 
+def test_one_id_on_two_texts_loses_neither(spark):
+    rng = random.Random(4)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    near = b.rsplit(" ", 1)[0]
+    rows = [(1, a), (5, a), (5, b), (9, c), (7, near), (5, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(tuple(r) for r in neardup.grouped(df, 5).collect()) == brute(rows, 5)
+    stay = Counter(tuple(r) for r in neardup.deduplicated(df).collect())
+    assert stay == Counter([(1, a), (5, b), (9, c)])
+
+
 def test_components_of_a_long_path(spark):
     nodes = list(range(100, 160))
     random.Random(1).shuffle(nodes)

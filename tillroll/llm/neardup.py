@@ -6,13 +6,17 @@ shingles, so one look at COORDINATES neighbouring table cells serves all coordin
 hashes ROWS_A_BAND coordinates drawn from all of them; documents that share a band are candidates.
 
 Links are confirmed on whole shingle sets (as sorted 64-bit hashes). Documents with equal sets form one
-class with its smallest id as representative, found by grouping on a fingerprint of the set, so
-copies never meet in a bucket. Representatives are then compared in three waves, with components of
+class, found by grouping on a fingerprint of the set, so copies never meet in a bucket; the row with
+the smallest id represents it. Representatives are then compared in three waves, with components of
 the links so far between them: each with one hub, the smallest id of the buckets it shares most often;
 each that is outside the largest component of a bucket with one member of it; and last all pairs of
 different components in a cluster (representatives joined by buckets) that exact prefix and
 positional filters let through. Pairs inside one component need no look, as they change nothing.
 
+Classes are numbered when their table is written, so a node stands for one set and not for an id: rows that
+share an id but not a set are documents of their own, with a component each. A component's id is the
+smallest doc_id in it.
+
 No text or blank text: an empty set, linked with nothing. Fewer words than a shingle has: the whole
 sequence is the one shingle. Rows without id are linked with nothing and have no component; rows that
 share an id and a text are one document. Very long texts are read whole. An empty table gives no rows.
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm import words as w
 from tillroll.llm.shared import kept, text_parts
@@ -36,7 +40,9 @@ COORDINATES = 256
 BANDS, ROWS_A_BAND = 64, 7
 SEED = 12
 
-_FEATURES = "doc_id long, n_shingles long, print_1 long, print_2 long, keys array<long>"
+PRINT = ["n_shingles", "print_1", "print_2"]  # a set's fingerprint
+MARK = ["mark_1", "mark_2"]  # a text's hashes; they tell the texts of one id apart
+_FEATURES = "doc_id long, mark_1 long, mark_2 long, n_shingles long, print_1 long, print_2 long, keys array<long>"
 
 
 class Circulant:
@@ -92,8 +98,18 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    if not len(shingles):
+        return 0, 0
+    return int(w.mixed(shingles ^ w.MIX_1).sum().view(np.int64)), int(w.mixed(shingles ^ w.MIX_2).sum().view(np.int64))
+
+
+def marks(text: str) -> list[Column]:
+    return [F.xxhash64(F.lit(i), F.col(text).cast("string")).alias(name) for i, name in enumerate(MARK)]
+
+
 def features(documents: DataFrame, width: int) -> DataFrame:
-    """Set size, fingerprint and band keys of every row."""
+    """Text hashes, set size, fingerprint and band keys of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, table = circulant(), {}
@@ -101,7 +117,7 @@ def features(documents: DataFrame, width: int) -> DataFrame:
             sizes, one, two, keys = [], [], [], []
             for s in shingle_sets(batch["text"], width):
                 sizes.append(len(s))
-                print_ = (int(w.mixed(s ^ w.MIX_1).sum().view(np.int64)), int(w.mixed(s ^ w.MIX_2).sum().view(np.int64))) if len(s) else (0, 0)
+                print_ = fingerprint(s)
                 one.append(print_[0])
                 two.append(print_[1])
                 if len(s) and (print_, len(s)) not in table:  # copies in a batch are signed once
@@ -111,22 +127,29 @@ def features(documents: DataFrame, width: int) -> DataFrame:
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64), pa.int64())
             ends = pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
-                ["doc_id", "n_shingles", "print_1", "print_2", "keys"],
+                [batch["doc_id"], batch["mark_1"], batch["mark_2"], pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
+                ["doc_id", *MARK, *PRINT, "keys"],
             )
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _FEATURES)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *marks("text")).mapInArrow(run, _FEATURES)
+
 
+def set_table(wanted: DataFrame, width: int) -> DataFrame:
+    """(rep, shingles), the sorted hashes as bytes, for the rows (rep, text, fingerprint) whose text has that fingerprint.
 
-def set_table(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, shingles) with the sorted hashes as bytes."""
+    Another text under the representative's id has another fingerprint and is passed over.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = pa.array([s.tobytes() for s in shingle_sets(batch["text"], width)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], sets], ["doc_id", "shingles"])
+            sets, same = [], []
+            for s, *want in zip(shingle_sets(batch["text"], width), *[batch[c].to_pylist() for c in PRINT]):
+                sets.append(s.tobytes())
+                same.append([len(s), *fingerprint(s)] == want)
+            out = pa.RecordBatch.from_arrays([batch["rep"], pa.array(sets, pa.binary())], ["rep", "shingles"])
+            yield out.filter(pa.array(same, pa.bool_()))
 
-    return documents.mapInArrow(run, "doc_id long, shingles binary")
+    return wanted.select("rep", "text", *PRINT).mapInArrow(run, "rep long, shingles binary")
 
 
 def linked(a: bytes, b: bytes, percent: int) -> bool:
@@ -150,8 +173,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             good = pa.array([linked(p, q, percent) for p, q in zip(x, y)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
 
-    one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = one.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    one = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
+    both = one.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -209,7 +232,7 @@ def open_pairs(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent:
             lists = pa.array([np.frombuffer(s, np.int64) for s in batch["shingles"].to_pylist()], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch["cluster"], batch["rep"], lists], ["cluster", "rep", "shingles"])
 
-    listed = rows.select("cluster", "rep").join(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep", "shingles"]), "rep")
+    listed = rows.select("cluster", "rep").join(sets.dropDuplicates(["rep"]), "rep")
     single = listed.select("cluster", "rep", "shingles").mapInArrow(run, "cluster long, rep long, shingles array<long>")
     single = single.select("cluster", "rep", F.explode("shingles").alias("shingle"))
     common = single.groupBy("cluster", "shingle").agg(F.count("*").alias("df"))
@@ -231,42 +254,57 @@ def open_pairs(clusters: DataFrame, found: DataFrame, sets: DataFrame, percent:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def grouped(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row."""
+def membership(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, marks, n_shingles, first) for every row: ``first`` is the (doc_id, marks) that its component is named by."""
     own = kept(features(documents, width), "features")
     full = own.filter("n_shingles > 0 and doc_id is not null")
-    same = ["n_shingles", "print_1", "print_2"]
-    classes = kept(full.groupBy(*same).agg(F.min(F.struct("doc_id", "keys")).alias("first")).select(*same, "first.doc_id", "first.keys").withColumnRenamed("doc_id", "rep"), "classes")
-    bands = classes.select("rep", "n_shingles", F.explode("keys").alias("key"))
+    by = ["doc_id", *MARK]
+    found = full.groupBy(*PRINT).agg(F.min(F.struct(*by, "keys")).alias("one"))
+    # numbers are fixed by writing the table; no later step derives them again
+    classes = kept(found.select(F.monotonically_increasing_id().alias("rep"), *PRINT, F.struct(*[f"one.{c}" for c in by]).alias("own"), "one.keys"), "classes")
+    bands = classes.select("rep", F.explode("keys").alias("key"))
     hubs = kept(bands.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).filter("size > 1").drop("size"), "hubs")
     crowded = kept(bands.join(hubs.select("key"), "key"), "crowded")
+    wanted = classes.join(crowded.select("rep").distinct(), "rep", "left_semi").select("rep", *PRINT, F.col("own.doc_id").alias("doc_id"))
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = kept(set_table(texts.join(crowded.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), width), "sets")
+    sets = kept(set_table(texts.join(wanted, "doc_id"), width), "sets")
 
     stars = kept(crowded.join(hubs, "key").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
     clusters = components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     links = kept(confirmed(hub_pairs(crowded, hubs), sets, percent), "links")
     links = kept(links.union(confirmed(delegate_pairs(crowded, components(links)), sets, percent)), "links")
     links = links.union(kept(confirmed(open_pairs(clusters, components(links), sets, percent), sets, percent), "links"))
-    found = components(links)
+    joined = components(links)
+
+    named = classes.select(*PRINT, "rep", "own").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    names = named.filter("component is not null").groupBy("component").agg(F.min("own").alias("least"))
+    named = named.join(names, "component", "left").select(*PRINT, F.coalesce("least", "own").alias("first"))
+    in_class = full.select(*by, *PRINT).join(named, PRINT).select(*by, "n_shingles", "first")
+    alone = own.filter("n_shingles = 0 or doc_id is null").select(*by, "n_shingles", F.struct(*by).alias("first"))
+    return in_class.unionAll(alone)
 
-    named = classes.select(*same, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select(*same, F.coalesce("component", "rep").alias("component_id"))
-    in_class = full.select("doc_id", *same).join(named, same).select("doc_id", "n_shingles", "component_id")
-    alone = own.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    both = in_class.unionAll(alone)
-    return both.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+def grouped(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per row."""
+    found = membership(documents, width, percent).select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def deduplicated(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One document of each group of near copies, and all rows without id; columns as they came."""
-    gone = grouped(documents, width, percent).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    """One document of each group of near copies, and all rows without id; columns as they came.
+
+    Rows are dropped by id and text, so another text under a dropped row's id stays.
+    """
+    own = F.struct("doc_id", *MARK)
+    gone = membership(documents, width, percent).filter(F.col("doc_id").isNotNull() & (own != F.col("first")))
+    gone = gone.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", *MARK)]).distinct()
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("record"))
-    stay = rows.join(gone, F.col("record.doc_id").cast("long") == F.col("_gone"), "left_anti")
+    rows = rows.select("record", F.col("record.doc_id").cast("long").alias("_id"), *[m.alias(f"_m{i}") for i, m in enumerate(marks("record.text"))])
+    same = (F.col("_id") == F.col("_doc_id")) & (F.col("_m0") == F.col("_mark_1")) & (F.col("_m1") == F.col("_mark_2"))
+    stay = rows.join(gone, same, "left_anti")
     # rows that repeat an id and a text are copies as well
-    ids = stay.withColumn("_id", F.col("record.doc_id")).withColumn("_text", F.xxhash64("record.text"))
-    once = ids.filter("_id is not null").dropDuplicates(["_id", "_text"]).select("record.*")
-    return once.unionAll(ids.filter("_id is null").select("record.*"))
+    once = stay.filter("_id is not null").dropDuplicates(["_id", "_m0", "_m1"]).select("record.*")
+    return once.unionAll(stay.filter("_id is null").select("record.*"))
 
 
 SQL = r"""
