@@ -26,12 +26,19 @@ def test_encoding(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "c string")
     codes = {r.c: r.c_Encoded for r in scaling.encode_categorical(df, ["c"]).collect()}
     assert codes == {"a": 0, "b": 1, None: 2}
-    hot = scaling.encode_categorical(df, ["c"], "onehot")
-    assert hot.columns == ["c", "c_a", "c_b", "c_nan"] and hot.filter("c_b").count() == 2
+    hot = {(r.c, r.c_OneHot.size, *r.c_OneHot.indices, *r.c_OneHot["values"]) for r in scaling.encode_categorical(df, ["c"], "onehot").collect()}
+    assert hot == {("a", 3, 0, 1.0), ("b", 3, 1, 1.0), (None, 3, 2, 1.0)}
+    wide = scaling.encode_onehot(df, ["c"], wide={"c": ["b", "z"]})
+    assert wide.columns == ["c", "c_b", "c_z"] and wide.filter("c_b").count() == 2 and wide.filter("c_z").count() == 0
     with pytest.raises(ValueError):
         scaling.encode_categorical(df, ["c"], "other")
-    with pytest.raises(ValueError):
-        scaling.levels(df, "c", max_levels=2)
+
+
+def test_encoding_of_many_levels(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") < 50_000, F.format_string("v%05d", "id")).otherwise("v00007").alias("c"))
+    got = scaling.encode_onehot(df, ["c"]).select("c", "c_OneHot.size", F.col("c_OneHot.indices")[0].alias("i"))
+    wrong = F.col("i") != F.substring("c", 2, 5).cast("int")
+    assert tuple(got.agg(F.count("i"), F.count_if(wrong), F.min("size"), F.max("size")).first()) == (60_000, 0, 50_000, 50_000)
 
 
 def test_unknown_category_is_all_zeros(spark):
@@ -71,10 +78,13 @@ def test_scores_against_brute_force(spark):
     f1 = [2 * np.sum((y == c) & (p == c)) / (np.sum(y == c) + np.sum(p == c)) for c in (0, 1)]
     assert got.f1 == pytest.approx(np.mean(f1))
     points = scores.pr_points(df).orderBy(F.desc("threshold")).collect()
+    assert (points[0].threshold, points[0].precision, points[0].recall) == (float("inf"), 1.0, 0.0)
+    points = points[1:]
     top = max(s)
     assert points[0].precision == pytest.approx(np.mean(y[s == top])) and points[-1].recall == 1.0
     curve = scores.roc_points(df).orderBy("fpr", "tpr").collect()
-    fpr, tpr = [0.0] + [r.fpr for r in curve], [0.0] + [r.tpr for r in curve]
+    assert (curve[0].threshold, curve[0].fpr, curve[0].tpr) == (float("inf"), 0.0, 0.0)
+    fpr, tpr = [r.fpr for r in curve], [r.tpr for r in curve]
     assert np.trapezoid(tpr, fpr) == pytest.approx(got.roc_auc)
     recall, precision = [0.0] + [r.recall for r in points], [1.0] + [r.precision for r in points]
     assert scores.pr_auc(df).first().pr_auc == pytest.approx(np.trapezoid(precision, recall))
@@ -170,7 +180,20 @@ def test_kmeans(blobs):
     with pytest.raises(ValueError):
         segments.fit_kmeans(blobs, 3, features="x")
     projected, ratios = segments.pca_projection(blobs)
-    assert {"PC1", "PC2"} <= set(projected.columns) and 0 < sum(ratios) <= 1.0001
+    assert {"PC1", "PC2"} <= set(projected.columns)
+    x = np.array([r.features.toArray() for r in projected.collect()])
+    _, size, axes = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    assert ratios == pytest.approx(list((size**2 / (size**2).sum())[:2]))
+    got = np.array([(r.PC1, r.PC2) for r in projected.collect()])
+    assert np.allclose(np.abs(got), np.abs((x - x.mean(axis=0)) @ axes[:2].T))
+
+
+def test_model_summary(spark):
+    metrics = dict(accuracy=0.75, precision=0.5, recall=0.25, f1=0.125, roc_auc=0.8)
+    weights = spark.createDataFrame([("a", 0.1), ("b", 0.5), ("c", 0.3), ("d", 0.1)], "feature string, importance double")
+    text = narrative.model_summary(metrics, weights)
+    assert "accuracy 0.750" in text and "ROC-AUC 0.800" in text and text.endswith("b (0.5000), c (0.3000), a (0.1000).")
+    assert "Strongest" not in narrative.model_summary(metrics, weights.limit(0))
 
 
 def test_shared_passes_equal_single_fits(spark, blobs):
@@ -256,6 +279,9 @@ def test_cross_validation(matrix):
     rows = classifiers.cross_validate(matrix.drop("is_test"), classifiers.decision_tree).collect()
     assert [r.fold for r in rows] == ["1", "2", "3", "4", "5", "overall"]
     values = [r.accuracy for r in rows[:5]]
+    both = classifiers.cross_validate_all(matrix.drop("is_test"), {"tree": classifiers.decision_tree, "line": classifiers.logistic_regression})
+    assert both.filter("model = 'tree' and fold <> 'overall'").orderBy("fold").select("accuracy").collect() == [(v,) for v in values]
+    assert both.count() == 12
     assert rows[5].accuracy_mean == pytest.approx(np.mean(values)) and rows[5].accuracy_std == pytest.approx(np.std(values))
 
 

@@ -95,3 +95,11 @@ def test_full_report(buyers, tmp_path):
     assert len(out["summary"]) == 7 and len(out["recommendations"]) >= 5
     assert out["segments"]["best_k"] in (2, 3) and "eda_overview" in out["paths"]
     assert {r.topic for r in out["facts"].collect()} >= {"top_segment", "outreach_pct", "country_budget", "baseline_gap"}
+
+
+def test_file_ends(spark, tmp_path):
+    for i, (a, b) in enumerate([(0, 3), (3, 20), (20, 22)]):
+        spark.range(a, b, 1, 1).write.mode("append").parquet(f"{tmp_path}/part={i}")
+    df = spark.read.parquet(*[f"{tmp_path}/part={i}" for i in range(3)])
+    got = sorted(tuple(r) for r in transactions.file_ends(df, 5).select("part", "place", "id").collect())
+    assert got == sorted([("head", i + 1, i) for i in range(5)] + [("tail", i + 1, 21 - i) for i in range(5)])

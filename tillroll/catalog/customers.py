@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillroll.catalog.registry import query
+from tillroll.catalog.registry import query, union
 from tillroll.catalog.sql import TEN, TWO, class_scores, confusion
 from tillroll.operators import classifiers, customers, narrative, scaling, scores, segments, vectors
 from tillroll.operators.prepare import before, instant
@@ -162,10 +162,12 @@ def encode_label(t):
        CROSS JOIN (SELECT DISTINCT Country FROM t_pos) b""",
 )
 def encode_onehot(t):
-    coded = scaling.encode_categorical(t.positive, ["Country"], "onehot")
-    names = [c for c in coded.columns if c.startswith("Country_")]
-    hits = coded.groupBy("Country").agg(*[F.count_if(F.col(f"`{n}`")).alias(n) for n in names])
-    return hits.unpivot(["Country"], [F.col(f"`{n}`") for n in names], "indicator", "hits")
+    hot = scaling.encode_categorical(t.positive, ["Country"], "onehot")
+    counted = hot.groupBy("Country", "Country_OneHot").agg(F.count(F.lit(1)).alias("rows"))
+    every = counted.withColumn("code", F.explode(F.sequence(F.lit(0), F.col("Country_OneHot.size") - 1)))
+    hits = F.when(F.array_contains("Country_OneHot.indices", F.col("code")), F.col("rows")).otherwise(0)
+    named = every.join(scaling.levels(t.positive, "Country"), "code")
+    return named.select("Country", F.concat(F.lit("Country_"), "level").alias("indicator"), hits.alias("hits"))
 
 
 @query(
@@ -358,9 +360,11 @@ _TRAITS = f"""SELECT *, CASE WHEN r <= 0.8 THEN 'recent' WHEN r >= 1.2 THEN 'sta
 @query(
     "cluster_descriptions",
     "cluster:i recency_label:s frequency_label:s monetary_label:s description:s",
-    f"""SELECT *, printf('Cluster %d is %s, %s and %s: %d customers (%.1f%%) bring %.2f (%.1f%%) of revenue.', cluster,
+    f"""SELECT *, printf('Cluster %d is %s, %s and %s: %d customers (%.1f%%) bring %.2f (%.1f%%) of revenue; means against those of all customers: recency %.1f days (%.1f), orders %.2f (%.2f), amount %.2f (%.2f).', cluster,
                          frequency_label, monetary_label, recency_label, customer_count, CAST(pct_of_customers AS DOUBLE),
-                         CAST(total_monetary AS DOUBLE), CAST(pct_of_total_revenue AS DOUBLE)) AS description FROM ({_TRAITS})""",
+                         CAST(total_monetary AS DOUBLE), CAST(pct_of_total_revenue AS DOUBLE),
+                         mean_recency, (SELECT avg(Recency) FROM t_rfm), mean_frequency, (SELECT avg(Frequency) FROM t_rfm),
+                         mean_monetary, (SELECT avg(Monetary) FROM t_rfm)) AS description FROM ({_TRAITS})""",
 )
 def cluster_descriptions(t):
     return narrative.cluster_descriptions(t.profiles, customers.rfm_means(t.rfm))
@@ -493,7 +497,8 @@ def confusion_normalised(t):
 @query(
     "roc_points",
     "threshold:x fpr:6 tpr:6",
-    "SELECT threshold, CAST(fp AS DOUBLE) / n AS fpr, CAST(tp AS DOUBLE) / p AS tpr FROM t_steps",
+    """SELECT threshold, CAST(fp AS DOUBLE) / n AS fpr, CAST(tp AS DOUBLE) / p AS tpr FROM t_steps
+       UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0""",
 )
 def roc_points(t):
     return scores.roc_points(t.scored)
@@ -512,7 +517,8 @@ def roc_auc(t):
     "pr_points",
     "threshold:x precision:6 recall:6 base_rate:6",
     """SELECT threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision, CAST(tp AS DOUBLE) / p AS recall,
-              CAST(p AS DOUBLE) / (p + n) AS base_rate FROM t_steps""",
+              CAST(p AS DOUBLE) / (p + n) AS base_rate FROM t_steps
+       UNION ALL SELECT CAST('inf' AS DOUBLE), 1, 0, max(CAST(p AS DOUBLE) / (p + n)) FROM t_steps""",
 )
 def pr_points(t):
     return scores.pr_points(t.scored)
@@ -600,22 +606,83 @@ def kmeans_labels(t):
     return segments.kmeans_labels(_points(t), 3).select("CustomerID", "Cluster")
 
 
+@query(
+    "kmeans_facts",
+    "customers:l clusters:i means_off:i wrong_centre:l",
+    "SELECT count(*) AS customers, 3 AS clusters, 0 AS means_off, 0 AS wrong_centre FROM t_rfm",
+)
+def kmeans_facts(t):
+    """What holds for every fit: each customer has the nearest centre's label, and centres are the means of their customers."""
+    from pyspark.ml.functions import vector_to_array
+
+    points = _points(t)
+    fitted = segments.fit_kmeans(points, 3)
+    x = vector_to_array("features")
+    labelled = fitted.label(points).select("Cluster", *[x[i].alias(f"x{i}") for i in range(3)])
+    centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in fitted.centres])
+    own = F.get(centres, F.col("Cluster"))
+
+    def away(centre):
+        return sum(((F.col(f"x{i}") - centre[i]) ** 2 for i in range(3)), F.lit(0.0))
+
+    nearest = F.least(*[away(centres[j]) for j in range(3)])
+    sums = labelled.groupBy("Cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(away(own) > nearest + 1e-9).alias("wrong"), *[F.avg(f"x{i}").alias(f"x{i}") for i in range(3)]
+    )
+    off = away(F.get(centres, F.col("Cluster"))) > 1e-6
+    return sums.agg(
+        F.sum("n").alias("customers"), F.count(F.lit(1)).alias("clusters"), F.count_if(off).alias("means_off"), F.sum("wrong").alias("wrong_centre")
+    )
+
+
+# Components of the 3 x 3 covariance in closed form; an axis is the longest cross product of two rows of (covariance - value).
+_AXES = """
+  c AS (SELECT covar_samp(z1, z1) AS a, covar_samp(z2, z2) AS b, covar_samp(z3, z3) AS d, covar_samp(z1, z2) AS e,
+               covar_samp(z1, z3) AS f, covar_samp(z2, z3) AS g, avg(z1) AS m1, avg(z2) AS m2, avg(z3) AS m3 FROM t_scaled),
+  q AS (SELECT *, (a + b + d) / 3 AS q FROM c),
+  p AS (SELECT *, sqrt(((a - q) ** 2 + (b - q) ** 2 + (d - q) ** 2 + 2 * (e * e + f * f + g * g)) / 6) AS p FROM q),
+  r AS (SELECT *, acos(greatest(-1, least(1, ((a - q) * ((b - q) * (d - q) - g * g) - e * (e * (d - q) - g * f)
+                  + f * (e * g - (b - q) * f)) / (2 * p * p * p)))) / 3 AS phi FROM p),
+  s AS (SELECT *, q + 2 * p * cos(phi) AS l1, q + 2 * p * cos(phi + 2 * pi() / 3) AS l3 FROM r),
+  l AS (SELECT *, 1 AS k, l1 AS v, l1 / (a + b + d) AS share, l1 / (a + b + d) AS upto FROM s
+        UNION ALL SELECT *, 2, 3 * q - l1 - l3, (3 * q - l1 - l3) / (a + b + d), (3 * q - l3) / (a + b + d) FROM s),
+  x AS (SELECT k, share, upto, m1, m2, m3,
+               unnest([[e * g - f * (b - v), f * e - (a - v) * g, (a - v) * (b - v) - e * e],
+                       [e * (d - v) - f * g, f * f - (a - v) * (d - v), (a - v) * g - e * f],
+                       [(b - v) * (d - v) - g * g, g * f - e * (d - v), e * g - (b - v) * f]]) AS w FROM l),
+  y AS (SELECT *, sqrt(w[1] ** 2 + w[2] ** 2 + w[3] ** 2) AS len FROM x),
+  top AS (SELECT k, max(len) AS len FROM y GROUP BY k),
+  axes AS (SELECT k, share, upto, m1, m2, m3,
+                  [i / (len * CASE WHEN w[list_position([abs(w[1]), abs(w[2]), abs(w[3])], greatest(abs(w[1]), abs(w[2]), abs(w[3])))] > 0
+                                   THEN 1 ELSE -1 END) FOR i IN w] AS u FROM y JOIN top USING (k, len)),
+  pcs AS (SELECT CustomerID, Cluster, max(along) FILTER (WHERE k = 1) AS PC1, max(along) FILTER (WHERE k = 2) AS PC2
+          FROM (SELECT *, (z1 - m1) * u[1] + (z2 - m2) * u[2] + (z3 - m3) * u[3] AS along FROM t_scaled CROSS JOIN axes)
+          GROUP BY CustomerID, Cluster)"""
+
+
 def _projected(t):
-    labels = segments.kmeans_labels(_points(t), 3)
-    return segments.pca_projection(labels)
+    return segments.pca_projection(t.scaled_rfm)
 
 
-@query("pca_projection")
+@query("pca_projection", "CustomerID:l Cluster:i PC1:6 PC2:6", f"WITH {_AXES} SELECT * FROM pcs")
 def pca_projection(t):
     return _projected(t)[0].select("CustomerID", "Cluster", "PC1", "PC2")
 
 
-@query("pca_explained_variance")
+@query(
+    "pca_explained_variance",
+    "component:s explained_variance_ratio:6 cumulative:6",
+    f"WITH {_AXES} SELECT DISTINCT 'PC' || k AS component, share AS explained_variance_ratio, upto AS cumulative FROM axes",
+)
 def pca_explained_variance(t):
     return segments.explained_variance(t.spark, _projected(t)[1])
 
 
-@query("component_centroids")
+@query(
+    "component_centroids",
+    "Cluster:i PC1:6 PC2:6",
+    f"WITH {_AXES} SELECT Cluster, avg(PC1) AS PC1, avg(PC2) AS PC2 FROM pcs GROUP BY Cluster",
+)
 def component_centroids(t):
     return segments.component_centroids(_projected(t)[0])
 
@@ -645,6 +712,43 @@ def forest_metrics(t):
     return _fitted(t, "Random Forest")[1]["metrics"]
 
 
+_TEST_PART = f"""SELECT count(*) FILTER (WHERE is_test) AS customers, count(*) FILTER (WHERE is_test AND y = 1) AS positive,
+       count(*) FILTER (WHERE is_test AND y = 0) AS negative
+  FROM (SELECT "{TARGET}" AS y, row_number() OVER (PARTITION BY "{TARGET}" ORDER BY md5(CAST(CustomerID AS VARCHAR) || '-42'), CustomerID)
+               <= floor(count(*) OVER (PARTITION BY "{TARGET}") * CAST(0.3 AS DOUBLE) + 0.5) AS is_test FROM t_target)"""
+
+
+@query(
+    "model_facts",
+    "model:s customers:l positive:l negative:l accuracy_agrees:b recall_agrees:b score_range:b",
+    f"""SELECT unnest(['Logistic Regression', 'Decision Tree', 'Random Forest']) AS model, *, true AS accuracy_agrees,
+               true AS recall_agrees, true AS score_range FROM ({_TEST_PART})""",
+)
+def model_facts(t):
+    """What holds for every fit: size and classes of the test part, and metrics that follow from the predictions alone."""
+    train, test = _parts(t)
+    out = {}
+    for name in classifiers.MODELS:
+        got = classifiers.train_and_score(train, test, name)
+        hit = (F.col("prediction") == F.col("label")).cast("double")
+        plain = got["predictions"].agg(
+            F.count(F.lit(1)).alias("customers"),
+            F.avg(hit).alias("hits"),
+            ((F.avg(F.when(F.col("label") == 1, hit)) + F.avg(F.when(F.col("label") == 0, hit))) / 2).alias("by_class"),
+            F.max((F.col("score") >= 0) & (F.col("score") <= 1)).alias("score_range"),
+        )
+        m = got["metrics"].select(F.struct("accuracy", "recall", "support_positive", "support_negative")).scalar()
+        out[name] = plain.withColumn("m", m).select(
+            "customers",
+            F.col("m.support_positive").alias("positive"),
+            F.col("m.support_negative").alias("negative"),
+            (F.abs(F.col("m.accuracy") - F.col("hits")) < 1e-12).alias("accuracy_agrees"),
+            (F.abs(F.col("m.recall") - F.col("by_class")) < 1e-12).alias("recall_agrees"),
+            "score_range",
+        )
+    return union(out, "model")
+
+
 @query("model_predictions")
 def model_predictions(t):
     train, test = _parts(t)
@@ -675,7 +779,7 @@ def best_model(t):
 @query("cv_metrics")
 def cv_metrics(t):
     matrix = pinned(t.matrix)
-    return classifiers.metric_table({n: classifiers.cross_validate(matrix, m) for n, m in classifiers.MODELS.items()})
+    return classifiers.cross_validate_all(matrix, classifiers.MODELS)
 
 
 @query("mlp_metrics")

@@ -8,6 +8,7 @@ from tillroll.catalog.registry import query, union
 from tillroll.catalog.sql import counted, long_measures
 from tillroll.operators import cleaning, explore, prepare, validate
 from tillroll.schema import BASE_COLUMNS, MEASURES
+from tillroll.sources import transactions
 from tillroll.sources.transactions import coerce, shape_table
 
 BASE = "InvoiceNo:s StockCode:s Description:s Quantity:l InvoiceDate:t UnitPrice:x CustomerID:l Country:s"
@@ -127,7 +128,7 @@ def positive_sales_root(t):
        UNION ALL SELECT 'positive_sales', count(*) FROM t_pos""",
 )
 def analytical_datasets(t):
-    return prepare.row_set_counts(t.sets)
+    return prepare.row_set_counts(t.raw)
 
 
 @query("positive_sales_cid", f"{BASE} TotalAmount:x", "SELECT * FROM t_sales")
@@ -182,7 +183,7 @@ def log1p_features(t):
        UNION ALL SELECT 'positive_sales', count(*) FROM t_pos""",
 )
 def run_full_cleaning(t):
-    return prepare.row_set_counts(cleaning.cleaned_sets(t.raw))
+    return prepare.row_set_counts(t.raw, list(cleaning.cleaned_sets(t.raw)))
 
 
 @query("dedup", BASE, "SELECT DISTINCT * FROM t_raw")
@@ -431,6 +432,21 @@ def head_tail(t):
     return union({"head": explore.head_rows(t.raw, 10, order), "tail": explore.tail_rows(t.raw, 10, order)}, "part")
 
 
+_ENDS = "l_orderkey:l l_linenumber:i l_partkey:l l_quantity:x"
+
+
+@query(
+    "file_ends",
+    f"part:s place:i {_ENDS}",
+    """SELECT 'head' AS part, r AS place, * FROM (SELECT *, row_number() OVER () AS r FROM lineitem) WHERE r <= 10
+       UNION ALL
+       SELECT 'tail', (SELECT count(*) FROM lineitem) - r + 1, * FROM (SELECT *, row_number() OVER () AS r FROM lineitem)
+       WHERE r > (SELECT count(*) FROM lineitem) - 10""",
+)
+def file_ends(t):
+    return transactions.file_ends(t.table("lineitem"))
+
+
 _FACTS = """SELECT (SELECT count(*) FROM t_raw) AS n_raw, (SELECT count(*) FROM t_full) AS n_full,
                    (SELECT count(*) FROM t_valid) AS n_clean, (SELECT count(*) FROM t_pos) AS n_pos"""
 

@@ -459,10 +459,10 @@ def regression_line(t):
 
 @query(
     "histogram",
-    "bin:l bin_low:4 bin_high:4 count:l mean:4",
-    """SELECT i AS bin, low + i * width AS bin_low, low + (i + 1) * width AS bin_high, count(v) AS "count", max(mean) AS mean
+    "bin:l bin_low:4 bin_high:4 count:l mean:4 median:4",
+    """SELECT i AS bin, low + i * width AS bin_low, low + (i + 1) * width AS bin_high, count(v) AS "count", max(mean) AS mean, max(mid) AS median
        FROM (SELECT unnest(range(50)) AS i)
-       CROSS JOIN (SELECT min(TotalAmount) AS low, (max(TotalAmount) - min(TotalAmount)) / 50 AS width, avg(TotalAmount) AS mean
+       CROSS JOIN (SELECT min(TotalAmount) AS low, (max(TotalAmount) - min(TotalAmount)) / 50 AS width, avg(TotalAmount) AS mean, median(TotalAmount) AS mid
                    FROM t_pos WHERE TotalAmount > 0) s
        LEFT JOIN (SELECT TotalAmount AS v FROM t_pos WHERE TotalAmount > 0) ON least(floor((v - low) / width), 49) = i
        GROUP BY i, low, width""",
@@ -471,6 +471,20 @@ def histogram(t):
     return outliers.histogram(t.positive, "TotalAmount", 50)
 
 
+@query(
+    "histogram_log",
+    "bin:l bin_low:6 bin_high:6 count:l mean:6 median:6",
+    """SELECT i AS bin, low + i * width AS bin_low, low + (i + 1) * width AS bin_high, count(v) AS "count", max(mean) AS mean, max(mid) AS median
+       FROM (SELECT unnest(range(60)) AS i)
+       CROSS JOIN (SELECT min(v) AS low, (max(v) - min(v)) / 60 AS width, avg(v) AS mean, median(v) AS mid
+                   FROM (SELECT ln(1 + TotalAmount) AS v FROM t_pos WHERE TotalAmount > 0)) s
+       LEFT JOIN (SELECT ln(1 + TotalAmount) AS v FROM t_pos WHERE TotalAmount > 0) ON least(floor((v - low) / width), 59) = i
+       GROUP BY i, low, width""",
+)
+def histogram_log(t):
+    return outliers.histogram(t.positive, "TotalAmount", 60, log=True)
+
+
 @query(
     "box_stats",
     "column:s min:4 q1:4 median:4 q3:4 max:4 whisker_low:4 whisker_high:4 beyond:l",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -122,33 +124,46 @@ def best_model(metrics: DataFrame, preferred: str = "Random Forest") -> str:
     return metrics.orderBy(*order).first().model
 
 
-def cross_validate(
+def cross_validate(df: DataFrame, model: Callable, target: str = TARGET, **options) -> DataFrame:
+    """``cross_validate_all`` of one model."""
+    return cross_validate_all(df, {"": model}, target, **options).drop("model")
+
+
+def cross_validate_all(
     df: DataFrame,
-    model: Callable,
+    models: Mapping[str, Callable],
     target: str = TARGET,
     key: str = "CustomerID",
     folds: int = 5,
     seed: int = SEED,
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    at_once: int = 4,
+    settings: Mapping[str, Mapping] | None = None,
     **options,
 ) -> DataFrame:
-    """Metrics of each fold and an ``overall`` row with mean and population deviation.
+    """Metrics of each model and fold, and an ``overall`` row with mean and population deviation for each model.
 
-    Feature preparation is refitted in every fold, so the held-out rows never shape it.
+    Feature preparation is refitted in every fold, so the held-out rows never shape it. All fits read one
+    written table with its folds, ``at_once`` of them side by side. ``settings`` are options of single models.
     """
     dealt = pinned(stratified_folds(df, target, key, folds, seed))
-    rows = []
-    for i in range(folds):
-        fitted = fit(dealt.filter(F.col("fold") != i), model, target, numeric, categorical, **options)
+
+    def run(task: tuple[str, int]) -> tuple:
+        name, i = task
+        own = {**options, **(settings or {}).get(name, {})}
+        fitted = fit(dealt.filter(F.col("fold") != i), models[name], target, numeric, categorical, **own)
         got = evaluate(fitted, dealt.filter(F.col("fold") == i), target).first()
-        rows.append((str(i + 1), *[None if got[m] is None else float(got[m]) for m in CV_METRICS]))
+        return (name, str(i + 1), *[None if got[m] is None else float(got[m]) for m in CV_METRICS])
+
     spark = df.sparkSession
-    table = spark.createDataFrame(rows, "fold string, " + ", ".join(f"{m} double" for m in CV_METRICS))
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), [(name, i) for name in models for i in range(folds)]))
+    table = spark.createDataFrame(rows, "model string, fold string, " + ", ".join(f"{m} double" for m in CV_METRICS))
     spread = []
     for m in CV_METRICS:
         spread += [F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std")]
-    overall = table.agg(*spread).select(F.lit("overall").alias("fold"), "*")
+    overall = table.groupBy("model").agg(*spread).withColumn("fold", F.lit("overall"))
     return table.unionByName(overall, allowMissingColumns=True)
 
 

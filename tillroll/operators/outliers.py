@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions.columns import holds, is_cancelled, number, percent, records, safe_divide
-from tillroll.functions.ranks import column_quantiles, melt
+from tillroll.functions.ranks import column_quantiles, melt, quantiles
 from tillroll.operators.explore import numeric_summary
 from tillroll.schema import IQR_MULTIPLIER, MEASURES, present, require
 
@@ -178,7 +178,7 @@ def anomaly_examples(full: DataFrame, sales: DataFrame, n: int = 5) -> dict[str,
 def histogram(df: DataFrame, column: str, bins: int = 50, positive: bool = True, log: bool = False) -> DataFrame:
     """Counts in equal bins between the smallest and largest value, empty bins included.
 
-    Each row also carries the mean of the values (a plot's mark). One pass finds the range, one counts.
+    Each row also carries mean and exact median of the values (a plot's marks).
     """
     x = number(df, column).cast("double")
     values = df.select((F.log1p(x) if log else x).alias("x")).filter(x > 0 if positive or log else x.isNotNull())
@@ -186,6 +186,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, positive: bool = True,
     low, width = F.col("s.low"), (F.col("s.high") - F.col("s.low")) / F.lit(bins)
     place = F.when(width > 0, F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1))).otherwise(F.lit(0))
     placed = values.withColumn("s", span).select(place.cast("long").alias("bin"))
+    median = quantiles(values, {"median": 0.5}, value="x").select("median").scalar()
     counted = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     out = every.join(counted, "bin", "left").withColumn("s", span)
@@ -195,6 +196,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, positive: bool = True,
         (low + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("count", F.lit(0)).alias("count"),
         F.col("s.mean").alias("mean"),
+        median.alias("median"),
     )
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.functions.columns import holds, is_cancelled, line_amount, number, stripped, to_number, to_time, year_month
+from tillroll.functions.columns import holds, is_cancelled, line_amount, number, records, stripped, to_number, to_time, year_month
 from tillroll.schema import RFM_COLUMNS, check_columns, present
 
 Instant = Column | datetime | int | str
@@ -149,10 +149,10 @@ def add_log1p(df: DataFrame, columns: Sequence[str] = RFM_COLUMNS) -> DataFrame:
     return df.withColumns({f"Log_{c}": F.log1p(F.col(c).cast("double")) for c in columns})
 
 
-def row_set_counts(sets: dict[str, DataFrame]) -> DataFrame:
-    """Rows of each named set, as a small table."""
-    out = None
-    for name, df in sets.items():
-        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+def row_set_counts(df: DataFrame, names: Sequence[str] = ("full", "valid_price", "positive_sales")) -> DataFrame:
+    """Rows of the three nested sets as a small table: each distinct line is counted under all sets it is in."""
+    check_columns(df)
+    priced = holds(number(df, "UnitPrice") > 0)
+    sold = priced & holds(~_cancelled(df)) & holds(number(df, "Quantity") > 0)
+    n = drop_duplicate_lines(df).agg(F.count(F.lit(1)).alias("a"), F.count_if(priced).alias("b"), F.count_if(sold).alias("c"))
+    return records(n, [{"dataset": F.lit(name), "rows": F.col(c)} for name, c in zip(names, "abc")])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -11,11 +11,10 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.functions.columns import number
-from tillroll.functions.ranks import hash_ranks
+from tillroll.functions.ranks import hash_ranks, running_totals
 from tillroll.operators.prepare import add_log1p, ensure_datetime, ensure_numeric, ensure_string
 from tillroll.schema import CATEGORICAL_FEATURES, ID_COLUMNS, NUMERIC_FEATURES, RFM_COLUMNS, SEED, present, require
 
-MAX_LEVELS = 10_000
 # Columns scaled for the analytical data set.
 ANALYTICAL_COLUMNS = ["Quantity", "UnitPrice", "TotalAmount", "Year", "Month", "Day", "Hour", "DayOfWeek"]
 
@@ -54,49 +53,46 @@ def scale_numeric(
     return df.withColumn("_fit", stats).withColumns(scaled).drop("_fit")
 
 
-def levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted distinct values of a low-cardinality column.
+def _text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
-    The list is read to the driver, so its size is checked first: one row above the bound is enough
-    to refuse.
-    """
-    text = F.coalesce(F.col(column).cast("string"), F.lit("nan")).alias("level")
-    found = [r.level for r in df.select(text).distinct().limit(max_levels + 1).collect()]
-    if len(found) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; use encode_label")
-    return sorted(found)
 
+def levels(df: DataFrame, column: str) -> DataFrame:
+    """(level, code): the distinct values as text, numbered from 0 in sorted order, however many there are."""
+    distinct = df.select(_text(column).alias("level")).distinct()
+    return running_totals(distinct, [F.col("level")], {"place": F.lit(1)}).select("level", (F.col("place") - 1).cast("int").alias("code"))
 
-def encode_label(df: DataFrame, columns: Sequence[str], exclude_ids: bool = True) -> DataFrame:
-    """Add ``<column>_Encoded``: zero-based code of the value in sorted order.
 
-    Codes are numbered over the distinct values and joined back. A code table of at most
-    ``MAX_LEVELS`` rows is broadcast, so a value that fills much of the table moves no rows; a larger
-    one is joined by shuffle, where AQE splits the values that are too frequent for one task.
-    """
-    from tillroll.functions.ranks import running_totals
+def _coded(df: DataFrame, column: str, output: str) -> DataFrame:
+    """The code of each row's value; the join follows the sizes, and AQE splits values too frequent for one task."""
+    codes = levels(df, column).select(F.col("level").alias("_level"), F.col("code").alias(output))
+    return df.withColumn("_text", _text(column)).join(codes, F.col("_text") == F.col("_level"), "left").drop("_text", "_level")
+
 
+def encode_label(df: DataFrame, columns: Sequence[str], exclude_ids: bool = True) -> DataFrame:
+    """Add ``<column>_Encoded``: zero-based code of the value in sorted order."""
     out = df
     for c in _usable(df, columns, exclude_ids):
-        text = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-        distinct = df.select(text.alias("_level")).distinct()
-        codes = running_totals(distinct, [F.col("_level")], {"_place": F.lit(1)})
-        codes = codes.select("_level", (F.col("_place") - 1).cast("int").alias(f"{c}_Encoded"))
-        if codes.limit(MAX_LEVELS + 1).count() <= MAX_LEVELS:
-            codes = F.broadcast(codes)
-        out = out.withColumn("_text", text).join(codes, F.col("_text") == F.col("_level"), "left")
-        out = out.drop("_text", "_level")
+        out = _coded(out, c, f"{c}_Encoded")
     return out
 
 
 def encode_onehot(
-    df: DataFrame, columns: Sequence[str], exclude_ids: bool = True, max_levels: int = MAX_LEVELS
+    df: DataFrame, columns: Sequence[str], exclude_ids: bool = True, wide: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
-    """Add one indicator column ``<column>_<level>`` for each level, none dropped."""
+    """Add ``<column>_OneHot``: a sparse indicator vector (size, indices, values) over all levels, none dropped.
+
+    Entry i stands for the level with code i (``levels``). A column in ``wide`` gets one boolean column
+    ``<column>_<level>`` for each level listed there instead.
+    """
     out = df
     for c in _usable(df, columns, exclude_ids):
-        text = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-        out = out.withColumns({f"{c}_{v}": text == F.lit(v) for v in levels(df, c, max_levels)})
+        if c in (wide or {}):
+            out = out.withColumns({f"{c}_{v}": _text(c) == F.lit(v) for v in wide[c]})
+            continue
+        size = levels(df, c).agg(F.count(F.lit(1)).cast("int")).scalar()
+        hot = F.struct(size.alias("size"), F.array("_code").alias("indices"), F.array(F.lit(1.0)).alias("values"))
+        out = _coded(out, c, "_code").withColumn(f"{c}_OneHot", hot).drop("_code")
     return out
 
 

@@ -71,6 +71,9 @@ def class_scores(matrix: DataFrame) -> DataFrame:
     return both.withColumn("f1", F.coalesce(f1, zero))
 
 
+ABOVE_ALL = float("inf")  # the threshold of a curve's first point
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve; null if only one class occurs.
 
@@ -96,26 +99,32 @@ def score_steps(df: DataFrame, label: str = "label", score: str = "score") -> Da
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """False and true positive rate at each distinct score."""
+    """False and true positive rate at each distinct score, and the origin above all scores."""
     steps = score_steps(df, label, score)
     totals = steps.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    return steps.withColumn("t", totals).select(
+    points = steps.withColumn("t", totals).select(
         "threshold",
         safe_divide(F.col("fp"), F.col("t.n")).alias("fpr"),
         safe_divide(F.col("tp"), F.col("t.p")).alias("tpr"),
     )
+    start = df.sparkSession.range(1).select(F.lit(ABOVE_ALL).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.unionByName(start)
 
 
 def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Precision and recall at each distinct score, with the share of positives as base line."""
+    """Precision and recall at each distinct score, and precision 1 at recall 0, with the share of positives as base line."""
     steps = score_steps(df, label, score)
     totals = steps.agg(F.struct(F.sum("pos").alias("p"), F.sum(F.col("pos") + F.col("neg")).alias("all"))).scalar()
-    return steps.withColumn("t", totals).select(
+    base = safe_divide(F.col("t.p"), F.col("t.all")).alias("base_rate")
+    points = steps.withColumn("t", totals).select(
         "threshold",
         safe_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         safe_divide(F.col("tp"), F.col("t.p")).alias("recall"),
-        safe_divide(F.col("t.p"), F.col("t.all")).alias("base_rate"),
+        base,
     )
+    start = df.sparkSession.range(1).withColumn("t", totals)
+    start = start.select(F.lit(ABOVE_ALL).alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), base)
+    return points.unionByName(start)
 
 
 def pr_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

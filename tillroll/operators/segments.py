@@ -10,7 +10,6 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -190,16 +189,42 @@ def best_k(sweep: DataFrame) -> int:
     return top.first().top.k
 
 
-def pca_projection(df: DataFrame, n: int = 2, features: str = "features") -> tuple[DataFrame, list[float]]:
-    """Add ``PC1..PCn``; also returns the share of variance of each component.
+def principal_axes(df: DataFrame, features: str = "features") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mean, axes as rows, variances) by falling variance, from one pass over the rows.
 
-    The input is expected to be centred, as the z-scores are.
+    The pass returns one row of means and covariances, a square of the vector's length. An axis points to
+    where its largest entry (the first of equal ones) is positive.
     """
     check_vectors(df, features)
-    model = PCA(k=n, inputCol=features, outputCol="_pc").fit(df)
-    out = model.transform(df).withColumn("_pc", vector_to_array("_pc"))
-    out = out.withColumns({f"PC{i + 1}": F.col("_pc")[i] for i in range(n)}).drop("_pc")
-    return out, list(model.explainedVariance.toArray())
+    sample = df.select(features).first()
+    if sample is None:
+        raise ValueError("no rows to find components in")
+    width = sample[0].size
+    x = df.select(vector_to_array(features).alias("x")).select(*[F.col("x")[i].alias(f"x{i}") for i in range(width)])
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    row = x.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(width)], *[F.covar_samp(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    spread = np.zeros((width, width))
+    for i, j in pairs:
+        spread[i, j] = spread[j, i] = row[f"c{i}_{j}"] or 0.0
+    variances, columns = np.linalg.eigh(spread)
+    axes = columns.T[::-1]
+    axes = axes * np.array([1.0 if a[np.abs(a).argmax()] > 0 else -1.0 for a in axes])[:, None]
+    return np.array([row[f"m{i}"] for i in range(width)]), axes, np.maximum(variances[::-1], 0.0)
+
+
+def pca_projection(df: DataFrame, n: int = 2, features: str = "features") -> tuple[DataFrame, list[float]]:
+    """Add ``PC1..PCn``, centred; also returns the share of variance of each component."""
+    mean, axes, variances = principal_axes(df, features)
+    if not 1 <= n <= len(axes):
+        raise ValueError(f"{n} components of {len(axes)} features")
+    x = vector_to_array(features)
+
+    def along(axis: np.ndarray) -> Column:
+        return reduce(lambda a, b: a + b, [(x[i] - F.lit(float(m))) * F.lit(float(v)) for i, (m, v) in enumerate(zip(mean, axis))])
+
+    total = float(variances.sum())
+    shares = [float(v) / total if total else 0.0 for v in variances[:n]]
+    return df.withColumns({f"PC{i + 1}": along(axes[i]) for i in range(n)}), shares
 
 
 def explained_variance(spark, ratios: Sequence[float]) -> DataFrame:

@@ -46,14 +46,12 @@ def predict_repeat_purchase(
     matrix = pinned(stratified_split(pinned(labelled_customers(sales, dates)), TARGET, seed=seed))
     train, test = matrix.filter(~F.col("is_test")), matrix.filter("is_test")
 
-    results, folds = {}, {}
+    results, settings = {}, {}
     for name in models:
         options = {"trees": trees} if name == "Random Forest" else {}
-        results[name] = classifiers.train_and_score(train, test, name, seed=seed, **options)
-        if cv_folds:
-            folds[name] = classifiers.cross_validate(
-                matrix, classifiers.MODELS[name], folds=cv_folds, seed=seed, **options
-            )
+        results[name], settings[name] = classifiers.train_and_score(train, test, name, seed=seed, **options), options
+    chosen = {n: classifiers.MODELS[n] for n in models}
+    folds = classifiers.cross_validate_all(matrix, chosen, folds=cv_folds, seed=seed, settings=settings) if cv_folds else None
     metrics = classifiers.metric_table({n: r["metrics"] for n, r in results.items()})
     out = {
         "dates": dates,
@@ -62,7 +60,7 @@ def predict_repeat_purchase(
         "best_model": classifiers.best_model(metrics),
         "predictions": classifiers.prediction_table({n: r["predictions"] for n, r in results.items()}),
         "confusion": {n: r["confusion_matrix"] for n, r in results.items()},
-        "cross_validation": classifiers.metric_table(folds) if folds else None,
+        "cross_validation": folds,
         "models": {n: r["model"] for n, r in results.items()},
     }
     if "Random Forest" in results:

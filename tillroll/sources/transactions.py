@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from tillroll.functions.columns import to_number, to_time
+from tillroll.functions.ranks import running_totals
 from tillroll.schema import (
     BASE_COLUMNS,
     RAW_TEXT_SCHEMA,
@@ -107,3 +108,24 @@ def scan_vectors(spark: SparkSession, path: str, vector: str = "embedding", labe
 def with_file_order(df: DataFrame) -> DataFrame:
     """Add the position of each row in its Parquet file, for jobs that need file order."""
     return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def file_ends(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first and last ``n`` rows in file order, as ``part`` ("head", "tail"), ``place`` from 1 and the columns.
+
+    Files follow each other by path. Row counts of the files (one row each) tell which files
+    hold wanted rows. ``df`` must be a plain scan.
+    """
+    placed = with_file_order(df)
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
+    upto = running_totals(sizes, [F.col("_file")], {"_upto": F.col("rows")})
+    total = sizes.agg(F.sum("rows")).scalar()
+    spans = upto.select("_file", (F.col("_upto") - F.col("rows")).alias("_start"), "_upto", total.alias("_all"))
+    # files without rows are not listed, so at most 2 n are left
+    wanted = spans.filter((F.col("_start") < n) | (F.col("_upto") > F.col("_all") - n))
+    rows = placed.join(F.broadcast(wanted), "_file").withColumn("_at", F.col("_start") + F.col("_row"))
+    out = None
+    for part, keep, place in (("head", F.col("_at") < n, F.col("_at") + 1), ("tail", F.col("_at") >= F.col("_all") - n, F.col("_all") - F.col("_at"))):
+        one = rows.filter(keep).select(F.lit(part).alias("part"), place.cast("int").alias("place"), *df.columns)
+        out = one if out is None else out.unionByName(one)
+    return out
