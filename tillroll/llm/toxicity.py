@@ -5,9 +5,9 @@ and of its beginnings, so that an unseen form of a known stem is near it. Filter
 run over the vectors of a whole text; the maximum of each filter goes into a logistic layer. Training
 takes a bounded sample of labelled rows outside the held-out part. A threshold is set for each
 language, which is guessed from function words in the text, from a histogram of the scores of all
-labelled rows that are neither held out nor in the sample, at the true shares of the labels. Where the
-sample has most rows of a label, its rows count as well, scored by models that were fitted without
-them. Languages with fewer than ENOUGH such rows of a label take the threshold of all languages.
+labelled rows that are not held out, at the true shares of the labels; rows of the sample are scored
+by models that were fitted without them. A language starts from all languages' rows, scaled to ENOUGH
+toxic ones, so few rows of its own move its threshold little.
 Scores are shifted so that every language's threshold lies at THRESHOLD.
 
 Null texts and texts without letters get the score of an empty text. Without both labels in the
@@ -35,7 +35,7 @@ ROWS, SIZE = 1 << 15, 12  # embedding table
 WIDTHS, FILTERS = (1, 2, 3), 12
 EPOCHS, BATCH = 6, 50
 FOLDS = 5  # models that score sample rows they were not fitted on
-ENOUGH = 10  # rows of either label for a threshold of a language's own
+ENOUGH = 10  # toxic rows of all languages that a language's own ones are added to
 MOST, CELLS = 40, 64  # the histogram goes to this logit, with so many cells for 1
 
 # Common function words by language.
@@ -191,7 +191,7 @@ def best_mark(rows: np.ndarray) -> float:
     cells = np.flatnonzero(rows.sum(axis=0) > 0)[::-1]
     hits = np.cumsum(rows[1, cells])
     f1 = 2 * hits / (np.cumsum(rows[:, cells].sum(axis=0)) + max(hits[-1], 1e-9))
-    last = int(f1.argmax())
+    last = int(f1.round(12).argmax())  # the same cell at any scale of the rows
     lower = cells[last + 1] + 1 if last + 1 < len(cells) else cells[last] - CELLS
     return float((cells[last] + lower) / 2 / CELLS - MOST)
 
@@ -213,19 +213,19 @@ def marks(outside: np.ndarray, inside: np.ndarray, sample: tuple[list[np.ndarray
     """The threshold of each language, as logit.
 
     ``outside`` has the labelled rows that are not in the sample, by language, label and cell, and
-    ``inside`` the count of those in the sample by label.
+    ``inside`` the count of those in the sample by label. The sample's rows always count too, so the rule is
+    the same for tables of any size. Every language starts from all languages' rows, scaled to ENOUGH toxic
+    ones, so its own rows take over gradually.
     """
     rows = outside.astype(float)
-    n = outside.sum(axis=(0, 2))
-    if (n < inside).any():  # few rows: those of the sample count as well
-        docs, labels, languages = sample
+    docs, labels, languages = sample
+    if len(docs):
         np.add.at(rows, (languages, labels, cell(cross_fitted(docs, labels, model))), 1)
-        weights = np.ones(2)
-    else:
-        weights = (n + inside) / np.maximum(n, 1)
-    weighed = rows * weights[None, :, None]
-    overall = best_mark(weighed.sum(axis=0))
-    return np.array([best_mark(w_) if (r.sum(axis=1) >= ENOUGH).all() else overall for w_, r in zip(weighed, rows)])
+    shares = (outside.sum(axis=(0, 2)) + inside) / np.maximum(rows.sum(axis=(0, 2)), 1)  # 1 if no row is missing
+    weighed = rows * shares[None, :, None]
+    every = weighed.sum(axis=0)
+    start = every * ENOUGH / max(every[1].sum(), 1)
+    return np.array([best_mark(w_ + start) for w_ in weighed])
 
 
 def sample_tokens(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
