@@ -1,13 +1,19 @@
 """Plans and results where no table is broadcast, as on large inputs."""
 
 import os
+import sys
 from collections import Counter
 
 import pytest
 
-from __spark_entry__ import SMALL
-from tillroll.operators.prepare import drop_duplicate_lines
-from tillroll.sources.retail_view import retail_lines
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+from check import check, connect  # noqa: E402
+
+from __spark_entry__ import SMALL, oracle_sql, queries  # noqa: E402
+from tillroll.catalog.all import QUERIES  # noqa: E402
+from tillroll.operators.prepare import drop_duplicate_lines  # noqa: E402
+from tillroll.sources.retail_view import retail_lines  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables are not here")
 
@@ -36,3 +42,11 @@ def test_lines_move_twice(known_lines, no_broadcast):
     assert sum("l_orderkey" in line or "(StockCode" in line for line in moved) == 2
     assert Counter(lines.collect()) == known_lines
     assert Counter(few.collect()) == Counter(dict.fromkeys(known_lines, 1))
+
+
+@pytest.mark.parametrize("name", ["pair_study", "spearman", "p99_clip", "histogram"])
+def test_lines_are_read_once_by_studies_of_measures(no_broadcast, name):
+    """What the query is asked for reads written measures; the lines were read when they were written."""
+    answer = QUERIES[name].run(no_broadcast, SMALL)
+    assert "lineitem" not in answer._jdf.queryExecution().optimizedPlan().toString()
+    assert check(no_broadcast, connect(SMALL), SMALL, name, queries()[name], oracle_sql()[name]) == ""

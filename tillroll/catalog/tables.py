@@ -417,7 +417,7 @@ def _ranks(column: str) -> str:
     ),
 )
 def spearman(t):
-    return relations.spearman(t.positive)
+    return relations.spearman(t.measures)
 
 
 def _study(x: str, y: str) -> str:
@@ -433,8 +433,8 @@ def _study(x: str, y: str) -> str:
     f"{_study('Quantity', 'TotalAmount')} UNION ALL {_study('UnitPrice', 'Quantity')}",
 )
 def pair_study(t):
-    first = relations.pair_study(t.positive, "Quantity", "TotalAmount")
-    return first.unionByName(relations.pair_study(t.positive, "UnitPrice", "Quantity"))
+    first = relations.pair_study(t.measures, "Quantity", "TotalAmount")
+    return first.unionByName(relations.pair_study(t.measures, "UnitPrice", "Quantity"))
 
 
 _CLIP = """SELECT Quantity, TotalAmount FROM t_pos
@@ -444,7 +444,7 @@ _CLIP = """SELECT Quantity, TotalAmount FROM t_pos
 
 @query("p99_clip", "Quantity:l TotalAmount:x", _CLIP)
 def p99_clip(t):
-    return relations.clip_p99(t.positive, "Quantity", "TotalAmount")
+    return relations.clip_p99(t.measures, "Quantity", "TotalAmount")
 
 
 @query(
@@ -454,7 +454,7 @@ def p99_clip(t):
         FROM ({_CLIP})""",
 )
 def regression_line(t):
-    return relations.regression_line(relations.clip_p99(t.positive, "Quantity", "TotalAmount"), "Quantity", "TotalAmount")
+    return relations.regression_line(relations.clip_p99(t.measures, "Quantity", "TotalAmount"), "Quantity", "TotalAmount")
 
 
 @query(
@@ -468,7 +468,7 @@ def regression_line(t):
        GROUP BY i, low, width""",
 )
 def histogram(t):
-    return outliers.histogram(t.positive, "TotalAmount", 50)
+    return outliers.histogram(t.measures, "TotalAmount", 50)
 
 
 @query(
@@ -482,7 +482,7 @@ def histogram(t):
        GROUP BY i, low, width""",
 )
 def histogram_log(t):
-    return outliers.histogram(t.positive, "TotalAmount", 60, log=True)
+    return outliers.histogram(t.measures, "TotalAmount", 60, log=True)
 
 
 @query(
