@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillroll.catalog.sql import PRELUDE
 from tillroll.operators import customers, prepare, scaling, segments
 from tillroll.plans.prediction import labelled_customers
-from tillroll.session import pinned
+from tillroll.session import pinned, written
 from tillroll.schema import MEASURES, TARGET
 from tillroll.sources.retail_view import retail_lines
 
@@ -54,7 +54,12 @@ class Tables:
     @cached_property
     def measures(self) -> DataFrame:
         """The measures of positive sales, written once because the queries over them read them several times."""
-        return pinned(self.positive.select(*MEASURES))
+        return written(self.positive.select(*MEASURES))
+
+    @cached_property
+    def priced(self) -> DataFrame:
+        """Lines with a price: their keys and measures, written once because fences and flags read them several times."""
+        return written(self.sets["valid_price"].select("InvoiceNo", "StockCode", *MEASURES))
 
     @cached_property
     def sales(self) -> DataFrame:

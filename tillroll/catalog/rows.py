@@ -379,7 +379,7 @@ _TAIL = """quantile_cont(value, 0.9) AS p90, quantile_cont(value, 0.95) AS p95,
     f'SELECT "column", {_SHAPE} FROM ({long_measures("t_pos")}) GROUP BY "column"',
 )
 def numeric_summary(t):
-    return explore.numeric_summary(t.positive, MEASURES)
+    return explore.numeric_summary(t.measures, MEASURES)
 
 
 @query(
@@ -388,7 +388,7 @@ def numeric_summary(t):
     f'SELECT "column", {_SHAPE}, {_TAIL} FROM ({long_measures("t_pos")}) GROUP BY "column"',
 )
 def numeric_summary_ext(t):
-    return explore.numeric_summary(t.positive, MEASURES, extended=True)
+    return explore.numeric_summary(t.measures, MEASURES, extended=True)
 
 
 _TEXT_COUNTS = " UNION ALL ".join(

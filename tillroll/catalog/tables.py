@@ -307,7 +307,7 @@ _BOUNDS = FENCES.format(long=long_measures("t_pos", positive=True))
     _BOUNDS,
 )
 def iqr_bounds(t):
-    return outliers.iqr_bounds(t.positive)
+    return outliers.iqr_bounds(t.measures)
 
 
 _FULL_BOUNDS = FENCES.format(long=long_measures("t_valid", positive=True))
@@ -323,17 +323,13 @@ _FLAGS = f"""WITH b AS ({_FULL_BOUNDS})
            {_flag("TotalAmount")} AS "TotalAmount_IsOutlier" FROM t_valid"""
 
 
-def _priced(t):
-    return t.sets["valid_price"]
-
-
 @query(
     "iqr_flags",
     "InvoiceNo:s StockCode:s Quantity:l Quantity_IsOutlier:b UnitPrice_IsOutlier:b TotalAmount_IsOutlier:b",
     _FLAGS,
 )
 def iqr_flags(t):
-    return outliers.flag_iqr_outliers(_priced(t))
+    return outliers.flag_iqr_outliers(t.priced)
 
 
 def _summary(bounds: str, table: str, base: str) -> str:
@@ -352,12 +348,12 @@ _SUMMARY = (
 
 @query("outlier_summary", _SUMMARY, _summary(_FULL_BOUNDS, "t_valid", "count(*)"))
 def outlier_summary(t):
-    return outliers.outlier_summary(_priced(t))
+    return outliers.outlier_summary(t.priced)
 
 
 @query("iqr_outlier_summary", _SUMMARY, _summary(_BOUNDS, "t_pos", "count(*) FILTER (WHERE {c} > 0)"))
 def iqr_outlier_summary(t):
-    return outliers.outlier_summary(t.positive, pct_base="positive")
+    return outliers.outlier_summary(t.measures, pct_base="positive")
 
 
 _IMPACT = """count(v) AS "count", avg(v) AS mean, quantile_cont(v, 0.5) AS median, stddev_samp(v) AS std,
@@ -372,7 +368,7 @@ _IMPACT = """count(v) AS "count", avg(v) AS mean, quantile_cont(v, 0.5) AS media
         FROM (SELECT TotalAmount AS v FROM ({_FLAGS}) WHERE NOT "TotalAmount_IsOutlier")""",
 )
 def outlier_impact(t):
-    return outliers.outlier_impact(outliers.flag_iqr_outliers(_priced(t), ["TotalAmount"]), "TotalAmount")
+    return outliers.outlier_impact(outliers.flag_iqr_outliers(t.priced, ["TotalAmount"]), "TotalAmount")
 
 
 _TAIL = {"P50": 0.5, "P75": 0.75, "P90": 0.9, "P95": 0.95, "P99": 0.99, "P99_5": 0.995, "P99_9": 0.999}
@@ -386,7 +382,7 @@ _TAIL = {"P50": 0.5, "P75": 0.75, "P90": 0.9, "P95": 0.95, "P99": 0.99, "P99_5":
     + f' FROM ({long_measures("t_pos", positive=True)}) GROUP BY "column")',
 )
 def heavy_tail(t):
-    return outliers.heavy_tail(t.positive)
+    return outliers.heavy_tail(t.measures)
 
 
 _MEASURES = ("Quantity", "UnitPrice", "TotalAmount")
@@ -496,7 +492,7 @@ def histogram_log(t):
           GROUP BY v."column") w ON b."column" = w.c""",
 )
 def box_stats(t):
-    return outliers.box_stats(t.positive)
+    return outliers.box_stats(t.measures)
 
 
 _EXTREME = "InvoiceNo:s StockCode:s Description:s Quantity:l UnitPrice:x CustomerID:l Country:s TotalAmount:x"

@@ -43,59 +43,62 @@ def attach(df: DataFrame, state: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(right), on).drop(*[f"_by_{b}" for b in by])
 
 
+def with_place(df: DataFrame, cuts: str, key: str, points: int, name: str) -> DataFrame:
+    """Add how many entries of the sorted array ``cuts`` are below ``key``, as ``below`` does.
+
+    Each step of the search is a projection of its own, so that it runs in generated code; ``below`` is a
+    lambda, which is interpreted for every row.
+    """
+    out = df.withColumn(name, F.lit(0))
+    for step in reversed([1 << k for k in range(points.bit_length())]):
+        out = out.withColumn(name, F.expr(f"`{name}` + IF(get({cuts}, `{name}` + {step - 1}) < {key}, {step}, 0)"))
+    return out
+
+
 def values_at(long: DataFrame, by: Sequence[str], ranks: dict[str, str], value: str = "value") -> DataFrame:
     """The values at zero-based ranks of each group; ``ranks`` are SQL expressions of the group's size ``n``.
 
-    Selection by narrowing. Equal values are counted once. Cut points (a sketch over the distinct values)
-    part a group into stretches; their exact row counts tell which stretch holds a rank, and cut points
-    inside every stretch part that one again. Its values, about one in OUTER * INNER, are then listed and
-    the rank is read off. Sketches only choose where to cut: whichever stretch a rank falls into is
-    the one that is kept, so the answer does not depend on how good a cut is.
+    Selection by narrowing. Cut points (a sketch) part a group into stretches; their exact row counts tell
+    which stretch holds a rank, and cut points inside that one part it again. The distinct values of the
+    stretch that is left, about one row in OUTER * INNER, are then counted and the rank is read off. Sketches
+    only choose where to cut: whichever stretch a rank falls into is the one that is kept, so the answer
+    does not depend on how good a cut is. Only counts of stretches are shuffled, never the values of a column.
 
+    ``long`` is read five times: hand in a written table, or one that ends in a shuffle.
     ``by`` must be a bounded set of groups (measure name, month, cluster). Columns out: ``by``, ``n``, one per rank.
     """
     by = list(by)
-    x = F.col(value).alias("x")
-    counts = long.filter(F.col(value).isNotNull()).groupBy(*by, x).agg(F.count(F.lit(1)).alias("c"))
-    grid = lambda points: F.expr(f"array({', '.join(f'{(i + 1) / (points + 1)}D' for i in range(points))})")
-
-    cuts = counts.groupBy(*by).agg(F.percentile_approx("x", grid(OUTER), 8 * OUTER).alias("cuts"))
-    outer = attach(counts, cuts, by).withColumn("z", F.expr(below("s.cuts", "x", OUTER)))
-    outer = outer.groupBy(*by, "z").agg(
-        F.sum("c").alias("rows"), F.percentile_approx("x", grid(INNER), 8 * INNER).alias("inner"), F.first("s.cuts").alias("cuts")
-    )
-    parts = outer.groupBy(*by).agg(
-        F.sum("rows").alias("n"), F.first("cuts").alias("cuts"), F.expr("array_sort(collect_list(struct(z, rows, inner)))").alias("parts")
-    )
-    names = list(ranks)
+    rows = long.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("x"))
     wanted = ", ".join(f"struct({i} AS t, bigint({r}) AS r)" for i, r in enumerate(ranks.values()))
-    found = parts.select(*by, "n", "cuts", "parts", F.expr(f"transform(array({wanted}), w -> struct(w.t, w.r, {find_rank('parts', 'w.r', '0')} AS at))").alias("w"))
-    inner_state = found.select(
-        *by,
-        "n",
-        F.expr("transform(w, w -> struct(w.t, w.r, w.at.before AS before, parts[w.at.place].z AS z, parts[w.at.place].inner AS inner))").alias("w"),
-        "cuts",
-    ).select(
-        *by,
-        "n",
-        F.expr("transform(w, w -> struct(w.t, w.r, w.before, w.inner, IF(w.z > 0, cuts[greatest(w.z - 1, 0)], NULL) AS lo, IF(w.z < size(cuts), cuts[least(w.z, size(cuts) - 1)], NULL) AS hi))").alias("w"),
-    )
-    inside = "filter(s.w, w -> (w.lo IS NULL OR x > w.lo) AND (w.hi IS NULL OR x <= w.hi))"
-    hit = attach(counts, inner_state, by).withColumn("w", F.expr(f"explode({inside})"))
-    hit = hit.withColumn("y", F.expr(below("w.inner", "x", INNER)))
-    hit = hit.groupBy(*by, F.col("w.t").alias("t"), "y").agg(F.sum("c").alias("rows"), F.first(F.struct("s.n", "w.r", "w.before", "w.lo", "w.hi", "w.inner")).alias("s"))
-    hit = hit.groupBy(*by, "t").agg(F.first("s").alias("s"), F.expr("array_sort(collect_list(struct(y, rows)))").alias("parts"))
-    hit = hit.withColumn("at", F.expr(find_rank("parts", "s.r", "s.before")))
-    last = hit.groupBy(*by).agg(
-        F.first("s.n").alias("n"),
-        F.collect_list(F.expr("struct(t, s.r, at.before AS before, s.lo, s.hi, s.inner, parts[at.place].y AS y)")).alias("w"),
-    )
-    listed = attach(counts, last, by).withColumn("w", F.expr(f"explode({inside})")).filter(F.expr(f"w.y = {below('w.inner', 'x', INNER)}"))
-    listed = listed.groupBy(*by, F.col("w.t").alias("t")).agg(
-        F.first("s.n").alias("n"), F.first("w.r").alias("r"), F.first("w.before").alias("before"), F.expr("array_sort(collect_list(struct(x, c AS rows)))").alias("parts")
-    )
-    picked = listed.select(*by, "t", "n", F.expr(f"parts[{find_rank('parts', 'r', 'before')}.place].x").alias("x"))
-    return picked.groupBy(*by).agg(F.first("n").alias("n"), *[F.max(F.when(F.col("t") == i, F.col("x"))).alias(name) for i, name in enumerate(names)])
+
+    def cuts(df: DataFrame, keys: list[str], points: int, *more: Column) -> DataFrame:
+        grid = F.expr(f"array({', '.join(f'{(i + 1) / (points + 1)}D' for i in range(points))})")
+        return df.groupBy(*keys).agg(F.percentile_approx("x", grid, 8 * points).alias("cuts"), *more)
+
+    def held(counts: DataFrame, keys: list[str], part: str) -> DataFrame:
+        """The part (of ``part``, ``rows``, ``n``, ``before``) that holds each rank of its group of ``keys``, and the rows before it."""
+        every = F.expr(f"array_sort(collect_list(struct({part} AS part, rows)))")
+        parts = counts.groupBy(*keys).agg(F.first("n").alias("n"), F.first("before").alias("before"), F.sum("rows").alias("size"), every.alias("parts"))
+        inside = parts.withColumn("w", F.expr(f"explode(filter(array({wanted}), w -> w.r >= before AND w.r < before + size))"))
+        at = inside.withColumn("at", F.expr(find_rank("parts", "w.r", "before")))
+        return at.select(*keys, "n", F.col("w.t").alias("t"), F.col("at.before").alias("before"), F.expr("parts[at.place].part").alias(part))
+
+    def places(found: DataFrame, keys: list[str]) -> DataFrame:
+        return found.groupBy(*keys).agg(F.first("n").alias("n"), F.first("before").alias("before"))
+
+    in_z, in_y = [*by, "z"], [*by, "z", "y"]
+    n, before = F.first("s.n").alias("n"), F.first("s.before").alias("before")
+    placed = with_place(attach(rows, cuts(rows, by, OUTER), by), "s.cuts", "x", OUTER, "z").select(*in_z, "x")
+    counts = placed.groupBy(*in_z).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = counts.groupBy(*by).agg(F.sum("rows").alias("n"), F.collect_list(F.struct("z", "rows")).alias("all"))
+    outer = sizes.select(*by, "n", F.lit(0).cast("long").alias("before"), F.expr("inline(all)"))
+    # From here on only rows of the stretches that hold a rank are kept, at most one stretch for each rank.
+    inner = cuts(attach(placed, places(held(outer, by, "z"), in_z), in_z), in_z, INNER, n, before)
+    near = with_place(attach(placed, inner, in_z), "s.cuts", "x", INNER, "y")
+    found = held(near.groupBy(*in_y).agg(F.count(F.lit(1)).alias("rows"), n, before), in_z, "y")
+    last = attach(near.select(*in_y, "x"), places(found, in_y), in_y)
+    listed = held(last.groupBy(*in_y, "x").agg(F.count(F.lit(1)).alias("rows"), n, before), in_y, "x")
+    return listed.groupBy(*by).agg(F.first("n").alias("n"), *[F.max(F.when(F.col("t") == i, F.col("x"))).alias(name) for i, name in enumerate(ranks)])
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), positive: bool = False) -> DataFrame:
