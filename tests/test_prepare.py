@@ -105,3 +105,18 @@ def test_empty_input_has_empty_results(spark, dirty):
     none = dirty.limit(0)
     assert prepare.row_sets(none)["full"].count() == 0
     assert cleaning.cleaning_log(none).agg(F.sum("rows_after")).first()[0] == 0
+
+
+def test_before_after_from_numbered_lines(dirty):
+    """One grouping of the raw lines gives the figures of all three sets: no later shuffle goes by the base columns."""
+    from tillroll.functions.ranks import numbered_copies
+    from tillroll.session import written
+
+    plain = cleaning.cleaned_sets(dirty)
+    lines = written(numbered_copies(dirty, "copy"))
+    sets = cleaning.cleaned_sets(lines, "copy")
+    got = cleaning.before_after(lines, sets["cleaned"], sets["positive_sales"], "copy")
+    want = cleaning.before_after(dirty, plain["cleaned"], plain["positive_sales"])
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "InvoiceNo" not in [c for line in got._jdf.queryExecution().toString().splitlines() if "hashpartitioning" in line for c in line.split("#")]

@@ -512,5 +512,5 @@ def _metrics(name: str, table: str, columns: int, duplicates: str) -> str:
     ),
 )
 def before_after(t):
-    sets = cleaning.cleaned_sets(t.raw)
-    return cleaning.before_after(t.raw, sets["cleaned"], sets["positive_sales"])
+    sets = cleaning.cleaned_sets(t.numbered, "copy")
+    return cleaning.before_after(t.numbered, sets["cleaned"], sets["positive_sales"], "copy")

@@ -20,10 +20,14 @@ from tillroll.operators.validate import is_missing, line_groups
 from tillroll.schema import BASE_COLUMNS, check_columns
 
 
-def cleaned_sets(df: DataFrame) -> dict[str, DataFrame]:
-    """``flagged`` (distinct lines with flags), ``cleaned`` (price above zero), ``positive_sales``."""
+def cleaned_sets(df: DataFrame, copy: str | None = None) -> dict[str, DataFrame]:
+    """``flagged`` (distinct lines with flags), ``cleaned`` (price above zero), ``positive_sales``.
+
+    If equal lines are numbered from 0 in the column ``copy``, the first of each is kept, and the column with it.
+    """
     check_columns(df)
-    flagged = flag_prices(flag_quantities(flag_cancellations(drop_duplicate_lines(df))))
+    distinct = df.filter(F.col(copy) == 0) if copy else drop_duplicate_lines(df)
+    flagged = flag_prices(flag_quantities(flag_cancellations(distinct)))
     flagged = add_time_parts(add_amount(flagged), names=False)
     cleaned = valid_price(flagged)
     return {"flagged": flagged, "cleaned": cleaned, "positive_sales": positive_quantity_sales(cleaned)}
@@ -111,17 +115,19 @@ def cleaning_decisions(df: DataFrame) -> DataFrame:
     return records(cleaning_facts(df), rows)
 
 
-def set_metrics(name: str, df: DataFrame) -> DataFrame:
+def set_metrics(name: str, df: DataFrame, copy: str | None = None) -> DataFrame:
     """Quality and amount figures of one row set as one row.
 
-    Rows are compared by their base columns: derived columns follow from those.
+    Rows are compared by their base columns: derived columns follow from those. If equal lines are numbered
+    from 0 in the column ``copy``, which is no column of the set, duplicates are those with a higher number.
     """
+    columns = [c for c in df.columns if c != copy]
     qty, price, amount = number(df, "Quantity"), number(df, "UnitPrice"), amount_of(df)
     cancelled = F.col("IsCancellation") if "IsCancellation" in df.columns else is_cancelled()
-    gaps = sum((is_missing(df, c).cast("long") for c in df.columns[1:]), is_missing(df, df.columns[0]).cast("long"))
+    gaps = sum((is_missing(df, c).cast("long") for c in columns[1:]), is_missing(df, columns[0]).cast("long"))
     figures = df.agg(
         row_count().alias("row_count"),
-        F.lit(len(df.columns)).cast("long").alias("column_count"),
+        F.lit(len(columns)).cast("long").alias("column_count"),
         F.coalesce(F.sum(gaps), F.lit(0)).alias("total_missing"),
         F.count_if(F.col("CustomerID").isNull()).alias("missing_customer"),
         F.count_if(F.col("Description").isNull()).alias("missing_description"),
@@ -132,21 +138,22 @@ def set_metrics(name: str, df: DataFrame) -> DataFrame:
         F.avg(amount).alias("amount_mean"),
         F.stddev_samp(amount).alias("amount_std"),
         F.sum(amount).alias("amount_sum"),
+        *([F.count_if(F.col(copy) > 0).alias("duplicate_rows")] if copy else []),
     )
-    distinct = line_groups(df.select(*BASE_COLUMNS)).agg(row_count()).scalar()
+    repeats = F.col("duplicate_rows") if copy else F.col("row_count") - line_groups(df.select(*BASE_COLUMNS)).agg(row_count()).scalar()
     median = quantiles(melt(df.select(amount.alias("amount")), ["amount"]), {"median": 0.5}).scalar()
     return figures.select(
         F.lit(name).alias("dataset"),
-        "*",
-        (F.col("row_count") - distinct).alias("duplicate_rows"),
+        *[c for c in figures.columns if c != "duplicate_rows"],
+        repeats.alias("duplicate_rows"),
         median.alias("amount_median"),
     )
 
 
-def before_after(raw: DataFrame, cleaned: DataFrame, positive: DataFrame) -> DataFrame:
-    out = set_metrics("Raw dataset", raw)
-    out = out.unionByName(set_metrics("Cleaned (quality)", cleaned))
-    return out.unionByName(set_metrics("Positive-sales analytical", positive))
+def before_after(raw: DataFrame, cleaned: DataFrame, positive: DataFrame, copy: str | None = None) -> DataFrame:
+    out = set_metrics("Raw dataset", raw, copy)
+    out = out.unionByName(set_metrics("Cleaned (quality)", cleaned, copy))
+    return out.unionByName(set_metrics("Positive-sales analytical", positive, copy))
 
 
 def run_cleaning(df: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
