@@ -102,3 +102,11 @@ def test_membership_and_join(spark, buyers):
     shares = customers.label_distribution(matrix, "FuturePurchased").collect()
     assert sum(r.percentage for r in shares) == pytest.approx(100)
     assert customers.lost_in_join(matrix.drop("FuturePurchased"), matrix.select("CustomerID", "FuturePurchased")) == 0
+
+
+def test_recommendation_facts_read_lines_once(spark):
+    """All five tables come from the sales lines as they were written: the plan joins no order tables again."""
+    from tillroll.catalog.all import QUERIES
+
+    facts = QUERIES["recommendation_facts"].run(spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in facts._jdf.queryExecution().toString() and "o_orderkey" not in facts._jdf.queryExecution().toString()

@@ -69,7 +69,7 @@ def temporal_split(t):
 @query("customer_features", FEATURES, "SELECT * FROM t_features")
 def customer_features(t):
     end = t.dates["historical_end"]
-    return customers.customer_features(before(t.sales, end), end, t.dates["historical_start"])
+    return customers.customer_features(before(t.sold, end), end, t.dates["historical_start"])
 
 
 @query("future_target", f"CustomerID:l {TARGET}:i", "SELECT * FROM t_target")
@@ -414,12 +414,13 @@ def cluster_facts(t):
 def recommendation_facts(t):
     from tillroll.operators import sales
 
+    t.rfm = pinned(customers.rfm(t.sold))  # all five tables come from the lines written once
     return narrative.recommendation_facts(
         t.profiles,
-        sales.busiest_countries(t.sales),
-        sales.best_products(t.sales),
-        sales.monthly_sales(t.sales),
-        customers.temporal_split(t.sales),
+        sales.busiest_countries(t.sold),
+        sales.best_products(t.sold),
+        sales.monthly_sales(t.sold),
+        customers.temporal_split(t.sold),
     )
 
 
