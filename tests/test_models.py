@@ -303,3 +303,16 @@ def test_feature_vectors_use_the_population_deviation(spark):
     first = stages.transform(rows).select(vector_to_array("features")[0].alias("z"))
     mean, deviation = first.agg(F.avg("z"), F.stddev_pop("z")).first()
     assert abs(mean) < 1e-12 and abs(deviation - 1) < 1e-12
+
+
+def test_nearest_centres_equal_plain_distances():
+    """Points go to the first nearest centre of each model, with the distances of the plain formula."""
+    import numpy as np
+    from tillroll.operators.segments import _nearest
+
+    rng = np.random.default_rng(1)
+    x, centres, cuts = rng.normal(size=(500, 3)), rng.normal(size=(9, 3)), np.array([0, 4, 9])
+    centres[6] = centres[5]
+    for i, place, away in _nearest(np.ascontiguousarray(x.T), centres, cuts):
+        plain = np.stack([((x - c) ** 2).sum(axis=1) for c in centres[cuts[i] : cuts[i + 1]]], axis=1)
+        assert (place == plain.argmin(axis=1)).all() and (away == plain.min(axis=1)).all()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -86,6 +86,23 @@ def starting_centres(points: DataFrame, seeds: Sequence[tuple[int, int]], rows:
     return out
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each model (rows ``cuts[i]`` to ``cuts[i + 1]`` of ``centres``) the nearest centre of each point, the first
+    among equals, and the squared distance to it. Points are columns of ``x``; buffers are reused, so nothing is copied."""
+    away, gap = np.empty(x.shape[1]), np.empty(x.shape[1])
+    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        best, place = np.full(x.shape[1], np.inf), np.zeros(x.shape[1], np.intp)
+        for j in range(a, b):
+            away.fill(0.0)
+            for row, c in zip(x, centres[j]):
+                np.subtract(row, c, out=gap)
+                np.multiply(gap, gap, out=gap)
+                away += gap
+            place[away < best] = j - a
+            np.minimum(best, away, out=best)
+        yield i, place, best
+
+
 def _assigned(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """For each model: points and coordinate sums of every centre, and the cost. One scan answers all models.
 
@@ -101,14 +118,13 @@ def _assigned(points: DataFrame, models: dict[int, np.ndarray]) -> dict[int, tup
         for batch in batches:
             x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             for at in range(0, len(x), 4096):
-                part = x[at : at + 4096]
-                away = np.stack([((part - c) ** 2).sum(axis=1) for c in flat], axis=1)
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    nearest = away[:, a:b].argmin(axis=1)
+                part = np.ascontiguousarray(x[at : at + 4096].T)
+                for i, nearest, away in _nearest(part, flat, cuts):
+                    a, b = cuts[i], cuts[i + 1]
                     count[a:b] += np.bincount(nearest, minlength=b - a)
-                    cost[a:b] += np.bincount(nearest, away[np.arange(len(part)), a + nearest], b - a)
+                    cost[a:b] += np.bincount(nearest, away, b - a)
                     for j in range(width):
-                        total[a:b, j] += np.bincount(nearest, part[:, j], b - a)
+                        total[a:b, j] += np.bincount(nearest, part[j], b - a)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(flat)), pa.int32()), pa.array(count), pa.array(cost), pa.array(total.tolist(), pa.list_(pa.float64()))],
             ["place", "n", "cost", "sums"],
