@@ -295,7 +295,7 @@ _STATS = {
     ),
 )
 def amount_stats(t):
-    return explore.amount_stats(t.positive)
+    return explore.amount_stats(t.measures)
 
 
 _BOUNDS = FENCES.format(long=long_measures("t_pos", positive=True))
