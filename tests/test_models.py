@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -168,6 +169,38 @@ def test_cluster_quality_against_brute_force(spark, blobs):
         segments.clustering_metrics(df.filter("label = 0"), names, "label")
 
 
+def test_distance_sums_cross_tiles_and_clusters():
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(3, 150)), rng.normal(size=(3, 1300))
+    wx, wy = rng.integers(1, 4, 150).astype(float), rng.integers(1, 4, 1300).astype(float)
+    d = np.sqrt(((x[:, :, None] - y[:, None]) ** 2).sum(0))
+    to_y, to_x = segments.distance_sums(x, [0, 70, 150], wx, y, [0, 600, 601, 1300], wy)
+    assert to_y == pytest.approx(np.stack([d[:, a:b] @ wy[a:b] for a, b in ((0, 600), (600, 601), (601, 1300))], 1))
+    assert to_x == pytest.approx(np.stack([wx[a:b] @ d[a:b] for a, b in ((0, 70), (70, 150))], 1))
+
+
+def test_euclidean_silhouette_sends_a_point_once_a_block(spark):
+    """Blocks were of 4,096 points and every ordered pair of blocks was a group with both sides in it."""
+    assert segments.block_count(700_000, 12, segments.BLOCK_ROWS) == 22
+    assert segments.block_count(50, 12, segments.BLOCK_ROWS) == 1 and segments.block_count(0, 12, 7) == 1
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 2)).round(3)
+    labels = rng.choice(["a", "b", "c"], 3000, p=[0.01, 0.19, 0.8])
+    df = spark.createDataFrame(pd.DataFrame({"x": x[:, 0], "y": x[:, 1], "label": labels}))
+    whole = segments.silhouette(df, ["x", "y"], "label", "euclidean").first()[0]
+    assert whole == pytest.approx(brute_silhouette(x, labels, False))
+    sent = segments._euclidean_silhouette(df, ["x", "y"], "label", rows_per_block=1000)
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroups" not in plan and sent.first()[0] == pytest.approx(whole)
+
+
+def test_euclidean_silhouette_counts_rows_without_cluster(spark):
+    rows = [(0.0, "a"), (1.0, "a"), (5.0, "b"), (6.0, "b"), (3.0, None)]
+    df = spark.createDataFrame(rows, "x double, label string")
+    four = segments.silhouette(df.dropna(), ["x"], "label", "euclidean").first()[0]
+    assert segments.silhouette(df, ["x"], "label", "euclidean").first()[0] == pytest.approx(four * 4 / 5)
+
+
 def test_kmeans(blobs):
     sweep = segments.kmeans_sweep(blobs, k_values=(2, 3, 4), n_init=2)
     rows = sweep.orderBy("k").collect()
