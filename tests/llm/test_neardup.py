@@ -96,6 +96,40 @@ def test_components_of_a_long_path(spark):
     assert got == {n: 100 for n in nodes} | {7: 7, 8: 7, 9: 7}
 
 
+def test_components_read_fewer_links_each_round(spark, monkeypatch):
+    """Every round used to join all links with the labels again."""
+    rng = random.Random(8)
+    nodes = rng.sample(range(10**6), 2000)
+    links = [(nodes[i], nodes[i + 1]) for i in range(1200)] + [(nodes[rng.randrange(1201, 1210)], n) for n in nodes[1210:]]
+    sizes, kept = [], neardup.kept
+
+    def counted(df, label):
+        out = kept(df, label)
+        sizes.extend([out.count()] * (label == "edges"))
+        return out
+
+    monkeypatch.setattr(neardup, "kept", counted)
+    got = dict(map(tuple, neardup.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    up = {n: n for link in links for n in link}
+
+    def top(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    assert got == {n: top(n) for n in up}
+    assert sizes[0] == len({frozenset(x) for x in links}) and sizes[-1] == 0 and sum(sizes[1:]) < sizes[0]
+
+
+def test_components_of_no_links_and_of_a_node_with_itself(spark):
+    assert neardup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    links = spark.createDataFrame([(4, 4), (7, 7), (7, 5), (5, 7)], "a long, b long")
+    assert dict(map(tuple, neardup.components(links).collect())) == {4: 4, 7: 5, 5: 5}
+
+
 def test_signature_estimates_jaccard():
     rng = np.random.default_rng(2)
     own = neardup.Circulant()
