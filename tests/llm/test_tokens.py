@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillroll.llm import bpe_rows, packing, token_files
+from tillroll.llm import bpe_rows, encode, packing, token_files
 from tillroll.llm.bpe import coder
 from tillroll.llm.encode import encoder
 from tillroll.llm.shared import tokenizer_path
@@ -36,6 +36,36 @@ def test_pieces_give_the_ids_of_whole_texts(name):
     assert [np.frombuffer(x, "<u2").tolist() for x in encoder(tokenizer_path(name))(texts)] == want
 
 
+def signed(n: int) -> list[str]:
+    """Words with signs behind, before and between them, letters of other scripts and marks among them."""
+    rng = random.Random(12)
+    words = ["stem", "Stem", "été", "don't", "x'", "İi", "İ", "ß", "É", "µ", "ÿ", "Ŀ", "ŉ", "ǅ", "ʰ", "Σας", "語", "4", "²", "ª", "e\u0301", "ɐ", "a-b", "(", "é(", ""]
+    signs = ["", ".", ",", "...", "?!", "###", "%%%", "<|", "|>", ".'s", "'s", ").", "=", "<\u0338", ",x", "&", "$5"]
+    gaps = [" ", " ", "  ", "\n", " \n ", "\u3000"]
+    return ["".join(rng.choice(words) + rng.choice(signs) + rng.choice(gaps) for _ in range(rng.randint(1, 30))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("name", ["bytes", "words"])
+def test_signs_at_the_end_of_words(name):
+    texts = signed(600)
+    want = [x.ids for x in library(name).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encode.Encoder(tokenizer_path(name))(texts)] == want
+
+
+@pytest.mark.parametrize("name", ["bytes", "words"])
+def test_the_library_sees_a_word_once_and_a_full_memory_is_not_lost(name, monkeypatch):
+    """Each word was asked for with every run of signs behind it, and all of them again after a full memory."""
+    monkeypatch.setattr(encode, "MEMORY", 20)
+    own, asked, ask = encode.Encoder(tokenizer_path(name)), [], encode.Encoder._library
+    monkeypatch.setattr(encode.Encoder, "_library", lambda self, texts: [asked.extend(texts), ask(self, texts)][1])
+    words = ["wird%s" % a + b for a in "abcdefgh" for b in "xyz"]
+    texts = [" ".join(w + sign for w in words) for sign in ("", ",", ".", "!?")]
+    want = [x.ids for x in library(name).encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(x, "<u2").tolist() for text in texts for x in own([text])]
+    assert got == want
+    assert sum(text.count("wirdcy") for text in asked) == 1
+
+
 def test_pair_index_equals_library():
     texts = [t or "" for t in odd_texts()] + strange(300) + ["a" * n for n in range(1, 40)] + ["ab" * 3000]
     lib, own = library("words"), coder(tokenizer_path("words"))

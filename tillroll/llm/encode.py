@@ -21,9 +21,12 @@ WHITE = "".join(map(chr, WHITE_POINTS))
 PIECE = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 WORD = re.compile(f"[^{WHITE}]+")
 
-# Most pieces remembered at a time by one worker; beyond it the memory starts afresh.
+# Pieces that one worker remembers before a new memory is begun; the one before it is kept for look-ups.
 MEMORY = 600_000
 RUN = 500  # new pieces in one text for the library
+# Signs at the end of a word: both tokenizers part a run of them from a letter before it.
+SIGNS = ",.;:!?#$%&*|<>"
+LAST_LETTER = 0xFF  # of Latin-1: lowering or composing such a letter gives one letter again, unlike U+0130
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -47,12 +50,36 @@ class Encoder:
         [self.between_id] = self.tokenizer.encode(self.between, add_special_tokens=False).ids
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("H", x.ids).tobytes() for x in found]
 
     def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces; a word and the signs at its end are looked up apart, as most words come with several."""
+        stems = {}
+        for p in pieces:
+            stem = p.rstrip(SIGNS)
+            if stem and stem != p and ord(stem[-1]) <= LAST_LETTER and stem[-1].isalpha():
+                stems[p] = stem
+        wanted = {p for p in pieces if p not in stems}
+        wanted.update(stems.values())
+        wanted.update([p[len(stem) :] for p, stem in stems.items()])
+        self._ask([p for p in wanted if p not in self.known and not self._recalled(p)])
+        known = self.known
+        for p, stem in stems.items():
+            known[p] = known[stem] + known[p[len(stem) :]]
+
+    def _recalled(self, piece: str) -> bool:
+        """Whether the memory before this one has the piece, which then passes into this one."""
+        ids = self.older.get(piece)
+        if ids is None:
+            return False
+        self.known[piece] = ids
+        return True
+
+    def _ask(self, pieces: list[str]) -> None:
         """Ids of pieces: many in one text for the library, told apart by the id between them."""
         odd = [p for p in pieces if self.sign in p or p.isspace()]
         self.known.update(zip(odd, self._library(odd)))
@@ -68,7 +95,7 @@ class Encoder:
         """Ids of each text, in order; null counts as empty."""
         cut, whole, fresh = [], {}, set()
         if len(self.known) > MEMORY:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         for at, text in enumerate(texts):
             if not text:
                 cut.append(())
@@ -79,7 +106,7 @@ class Encoder:
                 cut.append(self.cut(text))
                 fresh.update(cut[-1])
         fresh.difference_update(self.known)
-        self._learn(list(fresh))
+        self._learn([p for p in fresh if not self._recalled(p)] if self.older else list(fresh))
         known = self.known.__getitem__
         for at, pieces in enumerate(cut):
             yield whole[at] if at in whole else b"".join(map(known, pieces))
