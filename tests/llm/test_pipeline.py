@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_neardup import brute
@@ -37,6 +38,23 @@ def test_stages_decide_and_keep_columns(spark, tmp_path):
     assert Counter(map(tuple, whole.select(columns).collect())) == Counter(map(tuple, seen[3].select(columns).collect()))
 
 
+def test_a_text_goes_to_python_once(spark, monkeypatch):
+    """The records held the text, and it was sent beside them once more."""
+    folder, sent = "/root/testdata/sf0.001", []
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    own = type(docs).mapInArrow
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    models = [(quality, quality.fit(docs, labels)), (line_rules, line_rules.fit(docs, labels))]
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **k: [sent.append(self.columns), own(self, *a, **k)][1])
+    raw = docs.withColumn("text", F.col("text").cast("binary"))
+    for operator, model in models:
+        want = [(r.doc_id, r.text) for r in operator.accepted(docs, model).collect()]
+        assert sent.pop() == ["record"]
+        got = [(r.doc_id, None if r.text is None else r.text.decode()) for r in operator.accepted(raw, model).collect()]
+        assert sent.pop() == ["record", "text"]
+        assert want and Counter(got) == Counter(want)
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES)

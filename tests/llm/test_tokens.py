@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -66,6 +68,36 @@ def test_the_library_sees_a_word_once_and_a_full_memory_is_not_lost(name, monkey
     assert sum(text.count("wirdcy") for text in asked) == 1
 
 
+def test_a_batch_is_cut_a_run_of_texts_at_a_time(monkeypatch):
+    """All texts of a batch and the pieces of 4 million characters were Python strings at once: 60 MB here."""
+    stub = type("Task", (), {"get": staticmethod(lambda: type("Own", (), {"partitionId": lambda self: 0})())})
+    monkeypatch.setattr(packing, "TaskContext", stub)
+    text = "some words are here " * 100
+    column = pa.array([text, None, ""] + [text] * 6000 + [None])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(column)), pa.int64()), column], ["doc_id", "text"])
+    run = packing._pack_part(tokenizer_path("words"), 2048)
+    encoder(tokenizer_path("words"))
+    tracemalloc.start()
+    try:
+        got = pa.Table.from_batches(run(iter([batch]))).to_pylist()
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(got) == len(column) and {r["doc_id"] for r in got if r["length"] == 1} == {1, 2, 6003}
+    assert most < 30_000_000
+
+
+def test_runs_of_texts_keep_all_rows_in_order():
+    texts = ["", None, "é" * 3, "abc", None, "x" * 50, "", "y"]
+    for column in (pa.array(texts), pa.array(["cut off", *texts])[1:], pa.array(texts, pa.large_string())):
+        for most in (1, 4, 6, 1000):
+            runs = list(encode.batches(column, most))
+            assert [t for _, run in runs for t in run] == texts
+            assert [at for at, _ in runs] == [sum(len(r) for _, r in runs[:i]) for i in range(len(runs))]
+    assert list(encode.batches(pa.array([], pa.string()))) == []
+    assert [run for _, run in encode.batches(pa.array([None, None], pa.string()))] == [[None, None]]
+
+
 def test_pair_index_equals_library():
     texts = [t or "" for t in odd_texts()] + strange(300) + ["a" * n for n in range(1, 40)] + ["ab" * 3000]
     lib, own = library("words"), coder(tokenizer_path("words"))

@@ -20,8 +20,8 @@ def encode_rows(documents: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            docs, texts = batch["doc_id"], batch["text"].to_pylist()
-            for at, some in batches(texts, INDEX_CHARS):
+            docs = batch["doc_id"]
+            for at, some in batches(batch["text"], INDEX_CHARS):
                 ids = pa.array(coder(tokenizer).encode(some), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([docs[at : at + len(some)], ids], ["doc_id", "ids"])
 
@@ -44,8 +44,8 @@ def digest(documents: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            docs, texts = batch["doc_id"], batch["text"].to_pylist()
-            for at, some in batches(texts, INDEX_CHARS):
+            docs = batch["doc_id"]
+            for at, some in batches(batch["text"], INDEX_CHARS):
                 counts, ids, decoded = [], [], []
                 for found in coder(tokenizer).pieces(some):
                     counts.append(sum([len(p[0]) for p in found]))

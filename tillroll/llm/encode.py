@@ -14,6 +14,8 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The code points of the Unicode property White_Space.
 WHITE_POINTS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -22,7 +24,7 @@ PIECE = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 WORD = re.compile(f"[^{WHITE}]+")
 
 # Pieces that one worker remembers before a new memory is begun; the one before it is kept for look-ups.
-MEMORY = 600_000
+MEMORY = 500_000
 RUN = 500  # new pieces in one text for the library
 # Signs at the end of a word: both tokenizers part a run of them from a letter before it.
 SIGNS = ",.;:!?#$%&*|<>"
@@ -105,8 +107,8 @@ class Encoder:
             else:
                 cut.append(self.cut(text))
                 fresh.update(cut[-1])
-        fresh.difference_update(self.known)
-        self._learn([p for p in fresh if not self._recalled(p)] if self.older else list(fresh))
+        fresh = [p for p in fresh if p not in self.known]  # a look-up for each, not a walk over all that is known
+        self._learn([p for p in fresh if not self._recalled(p)] if self.older else fresh)
         known = self.known.__getitem__
         for at, pieces in enumerate(cut):
             yield whole[at] if at in whole else b"".join(map(known, pieces))
@@ -119,13 +121,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def batches(texts: list[str | None], most: int = 4 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about ``most`` characters, with the place of the first."""
-    start, size = 0, 0
-    for at, text in enumerate(texts):
-        size += len(text or "")
-        if size >= most:
-            yield start, texts[start : at + 1]
-            start, size = at + 1, 0
-    if start < len(texts):
-        yield start, texts[start:]
+def batches(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of about ``most`` bytes, with the place of the first; only one run at a time is made of Python strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, before = 0, 0
+    while start < len(texts):
+        end = min(int(np.searchsorted(ends, before + most)) + 1, len(texts))
+        yield start, texts.slice(start, end - start).to_pylist()
+        start, before = end, int(ends[end - 1])

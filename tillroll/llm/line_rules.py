@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillroll.llm import words as w
-from tillroll.llm.shared import text_parts
+from tillroll.llm.shared import records, text_of, text_parts
 from tillroll.llm.stats import KIND, STATS, SYMBOLS, Adam, Levels, distinct_in_rows, text_stats
 from tillroll.llm.training import labelled
 
@@ -233,12 +233,12 @@ def judge(data: np.ndarray, offsets: np.ndarray, model: LineField) -> dict[str,
 
 
 def judged(docs: DataFrame, model: LineField) -> DataFrame:
-    """(record, counts, base_failed, kept) for rows of (record, text)."""
+    """(record, counts, base_failed, kept) for rows of (record, text) or of record alone."""
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [judge(data, offsets, spread.value) for _, data, offsets in text_parts(batch["text"])]
+            found = [judge(data, offsets, spread.value) for _, data, offsets in text_parts(text_of(batch))]
             columns = [pa.array(np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64), pa.int64()) for c in COLUMNS]
             yield pa.RecordBatch.from_arrays([batch["record"], *columns], ["record", *COLUMNS])
 
@@ -256,5 +256,4 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, model: LineField) -> DataFrame:
     """The documents that pass base rules and content share; columns as they came."""
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.col("text").cast("string").alias("text"))
-    return judged(slim, model).filter("kept").select("record.*")
+    return judged(records(docs), model).filter("kept").select("record.*")

@@ -78,8 +78,8 @@ def _pack_part(tokenizer: str, length: int):
     def pieces(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encode = encoder(tokenizer)
         for batch in rows:
-            docs, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-            for at, some in batches(texts):
+            docs = batch["doc_id"].to_pylist()
+            for at, some in batches(batch["text"]):
                 for i, found in enumerate(encode(some)):
                     ids = np.concatenate([np.frombuffer(found, "<u2").astype("<u4"), end])
                     for piece, start in enumerate(range(0, len(ids), length)):

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillroll.llm.shared import text_parts
+from tillroll.llm.shared import records, text_of, text_parts
 from tillroll.llm.stats import STATS, Adam, Levels, text_stats
 from tillroll.llm.training import held_out, labelled
 
@@ -187,13 +187,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
 
 def scored(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """The documents with ``quality_score`` as their last column, the text's own column names kept."""
+    """The documents with ``quality_score`` as their last column, the text's own column names kept; rows may come as ``record`` (see ``records``)."""
     schema = docs.schema
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [spread.value.scores(*f) for f in features(batch["text"])]
+            found = [spread.value.scores(*f) for f in features(text_of(batch))]
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, "quality_score"])
 
@@ -212,5 +212,4 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, model: QualityModel) -> DataFrame:
     """The documents that the classifier takes for good text; columns as they came."""
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.col("text").cast("string").alias("text"))
-    return scored(slim, model).filter(F.col("quality_score") >= THRESHOLD).select("record.*")
+    return scored(records(docs), model).filter(F.col("quality_score") >= THRESHOLD).select("record.*")

@@ -72,6 +72,17 @@ def text_parts(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.
         row = last
 
 
+def records(docs: DataFrame) -> DataFrame:
+    """Whole rows as ``record``; the text is sent beside it only where it has to be cast to a string."""
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
+    return docs.select(record) if ("text", "string") in docs.dtypes else docs.select(record, F.col("text").cast("string").alias("text"))
+
+
+def text_of(batch: pa.RecordBatch) -> pa.Array:
+    """The text column of rows, or that of their records."""
+    return batch["text"] if "text" in batch.schema.names else batch["record"].field("text")
+
+
 def with_offsets(counts: DataFrame, group: str, number: str, to: str) -> DataFrame:
     """Add to each group number the sum of ``number`` over all smaller group numbers.
 

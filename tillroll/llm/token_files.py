@@ -88,8 +88,8 @@ def _blocks(tokenizer: str, block_ids: int):
         end = np.array([END_ID], "<u2").tobytes()
         docs, ids, held = [], [], 0
         for batch in rows:
-            numbers, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-            for at, some in batches(texts):
+            numbers = batch["doc_id"].to_pylist()
+            for at, some in batches(batch["text"]):
                 for i, found in enumerate(encode(some)):
                     docs.append(numbers[at + i])
                     ids.append(found + end)
