@@ -56,3 +56,28 @@ def test_large_components_stay_exact():
         assert [(-int(s), int(p)) for p, s in zip(places, scores)] == want
     with pytest.raises(OverflowError):
         list(topk.best(q * 2**40, np.full(3, -1), rows * 2**40, np.arange(30), 5))
+
+
+def test_tiles_are_not_broadcast(spark):
+    """A block is repeated for each shard after its size is estimated, so a broadcast would hold all repeats in the driver."""
+    df = spark.createDataFrame([(*r, "x") for r in vectors()], SCHEMA)
+    found = topk.digest(df)
+    assert found.count() > 0
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_shards_are_bounded_in_rows_and_bytes():
+    assert topk.side_count(720_000, 720_000 * 64, topk.SHARD_ROWS, 1) == 44
+    assert topk.side_count(720_000, 720_000 * 1024, topk.SHARD_ROWS, 1) == 704
+    assert topk.side_count(10_000, 10_000 * 64, topk.SHARD_ROWS, 24) == 4 and topk.side_count(0, 0, topk.SHARD_ROWS, 24) == 1
+
+
+def test_ties_across_stretches_go_to_the_smaller_id():
+    rng = np.random.default_rng(2)
+    rows, q = rng.integers(-1, 2, (1000, 2)), rng.integers(-1, 2, (9, 2))
+    for scale in (1, 2**13, 2**22):  # float32, float64, int64
+        for (places, scores), a, own in zip(topk.best(q * scale, np.arange(9) * 40, rows * scale, np.arange(1000), 7), q, range(9)):
+            want = sorted((-int(a @ b) * scale * scale, i) for i, b in enumerate(rows) if i != own * 40)[:7]
+            assert [(-int(s), int(p)) for p, s in zip(places, scores)] == want

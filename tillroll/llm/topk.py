@@ -2,7 +2,9 @@
 
 Vectors are packed into shards and queries into blocks of bounded size; every (block, shard) pair is
 one tile with a key of its own, so no task holds more than a tile. A tile multiplies its matrices in
-numpy and keeps each query's best k. Lists of FAN_IN neighbouring shards are merged at a time.
+numpy and keeps each query's best k. Lists of FAN_IN neighbouring shards are merged at a time. Tiles
+meet in a merge join: the planner does not see that a block is repeated for each shard, and would
+send all repeats through the driver.
 
 Vectors that are null, or hold null or non-finite components, take no part, nor do rows without an
 id. A vector is compared only with vectors of its own length. Candidates are all rows whose id is not
@@ -19,9 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-SHARD_ROWS = 8192
-BLOCK_ROWS = 4096
-TILE_ROWS = 512
+# A shard or block has about so many rows and bytes at most; it is cut down to FEW_ROWS rows for more cores.
+SHARD_ROWS = BLOCK_ROWS = 1 << 14
+SIDE_BYTES, FEW_ROWS = 1 << 23, 1 << 11
+# Queries that one step scores; neighbouring rows of which the best score is looked at first.
+TILE_ROWS, STRETCH = 256, 64
 FAN_IN = 16
 
 _TILE = "block int, dim int, shard int, no int, query_id long, found array<struct<worse: long, vec_id: long>>"
@@ -59,29 +63,53 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.n
     top = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(dim, 1)
     if top >= 2.0**63:
         raise OverflowError("an inner product may exceed 64 bits")
-    exact = (top + 1) * n < 2.0**52
-    right = rows.T.astype(np.float64 if exact else np.int64)
-    place = np.arange(n - 1, -1, -1)
+    parts = -(-n // STRETCH)
+    exact = (top + 1) * (parts * STRETCH) < 2.0**52
+    kind = np.int64 if not exact else np.float32 if top < 2.0**24 else np.float64  # sums of whole numbers below 2**24 are exact
+    right = np.zeros((dim, parts * STRETCH if exact else n), kind)
+    right[:, :n] = rows.T
+    first, last = np.searchsorted(ids, query_ids, "left"), np.searchsorted(ids, query_ids, "right")
     for at in range(0, len(queries), TILE_ROWS):
-        part = queries[at : at + TILE_ROWS].astype(right.dtype)
+        part = queries[at : at + TILE_ROWS].astype(kind)
         scores = part @ right
-        own = ids[None, :] == query_ids[at : at + TILE_ROWS, None] if np.isin(query_ids[at : at + TILE_ROWS], ids).any() else None
-        if exact:  # score and place in one number: larger is better, all distinct
-            scores *= n
-            scores += place
-            if own is not None:
-                scores[own] = -np.inf
-            take = np.argpartition(scores, -min(k, n), axis=1)[:, -min(k, n) :]
+        own = [(i, first[at + i], last[at + i]) for i in np.flatnonzero(last[at : at + TILE_ROWS] > first[at : at + TILE_ROWS])]
+        if exact:
+            scores[:, n:] = -np.inf
+            for i, a, b in own:
+                scores[i, a:b] = -np.inf
+            yield from _selected(scores, k)
+            continue
         for i in range(len(part)):
-            if exact:
-                found = take[i][np.argsort(-scores[i, take[i]])]
-                found = found[scores[i, found] > -np.inf]
-                yield found, np.floor_divide(scores[i, found], n).astype(np.int64)
-            else:
-                order = np.argsort(-scores[i], kind="stable")
-                if own is not None:
-                    order = order[~own[i, order]]
-                yield order[:k], scores[i, order[:k]]
+            order = np.argsort(-scores[i], kind="stable")
+            if last[at + i] > first[at + i]:
+                order = order[(order < first[at + i]) | (order >= last[at + i])]
+            yield order[:k], scores[i, order[:k]]
+
+
+def _selected(scores: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The best k places of each row and their scores; the smaller place wins ties, those at -inf take no part.
+
+    They lie in the k stretches with the best scores (the earlier of equal ones), as each stretch that is
+    ahead of another holds a place that is ahead of all places of the other.
+    """
+    m, n = scores.shape
+    parts = n // STRETCH
+
+    def leading(value: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
+        """Columns of the best k; score and place in one number, so that all are distinct."""
+        key = value.astype(np.float64) * size - place
+        most = min(k, key.shape[1])
+        return np.argpartition(-key, most - 1, axis=1)[:, :most] if 0 < most < key.shape[1] else np.broadcast_to(np.arange(most), (m, most))
+
+    ahead = leading(scores.reshape(m, parts, STRETCH).max(axis=2), np.arange(parts), parts)
+    places = (ahead[:, :, None] * STRETCH + np.arange(STRETCH)).reshape(m, -1)
+    values = np.take_along_axis(scores, places, 1)
+    take = leading(values, places, n)
+    places, values = np.take_along_axis(places, take, 1), np.take_along_axis(values, take, 1)
+    order = np.lexsort((places, -values), axis=1)
+    places, values = np.take_along_axis(places, order, 1), np.take_along_axis(values, order, 1)
+    for i, there in enumerate(values > -np.inf):
+        yield places[i, there], values[i, there].astype(np.int64)
 
 
 def _tiles(k: int):
@@ -91,10 +119,9 @@ def _tiles(k: int):
                 dim = batch["dim"][r].as_py()
                 query_ids, queries = _matrix(batch["queries"][r], dim)
                 ids, rows = _matrix(batch["rows"][r], dim)
-                found = [
-                    [{"worse": -int(s), "vec_id": int(ids[p])} for p, s in zip(places, scores)]
-                    for places, scores in best(queries, query_ids, rows, ids, k)
-                ]
+                places, scores = zip(*best(queries, query_ids, rows, ids, k))
+                ends = np.cumsum([0, *(len(p) for p in places)])
+                hits = pa.StructArray.from_arrays([pa.array(-np.concatenate(scores)), pa.array(ids[np.concatenate(places)])], ["worse", "vec_id"])
                 n = len(query_ids)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -103,7 +130,7 @@ def _tiles(k: int):
                         pa.array([batch["shard"][r].as_py()] * n, pa.int32()),
                         pa.array(np.arange(n), pa.int32()),
                         pa.array(query_ids, pa.int64()),
-                        pa.array(found, pa.list_(pa.struct([("worse", pa.int64()), ("vec_id", pa.int64())]))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), hits),
                     ],
                     ["block", "dim", "shard", "no", "query_id", "found"],
                 )
@@ -111,15 +138,22 @@ def _tiles(k: int):
     return run
 
 
+def side_count(rows: int, numbers: int, most_rows: int, fewest: int) -> int:
+    """How many shards or blocks so many vectors with so many components in all are dealt into; fewest only as far as they are not tiny."""
+    return max(1, math.ceil(rows / most_rows), math.ceil(8 * numbers / SIDE_BYTES), min(fewest, rows // FEW_ROWS))
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for ``vectors`` (vec_id long, values array<long>)."""
     vectors = vectors.filter(F.col("vec_id").isNotNull()).withColumn("dim", F.size("values"))
-    n, queries = vectors.agg(F.count("*"), F.count_if(is_query)).first()
-    shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(queries / block_rows))
+    long = F.col("dim").cast("long")
+    n, wide, queries, query_wide = vectors.agg(F.count("*"), F.sum(long), F.count_if(is_query), F.sum(F.when(is_query, long))).first()
+    blocks = side_count(queries, query_wide or 0, block_rows, 1)
+    shards = side_count(n, wide or 0, shard_rows, math.ceil(4 * vectors.sparkSession.sparkContext.defaultParallelism / blocks))
     numbers = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     left = _packed(vectors, "shard", shards, "rows").withColumn("block", numbers(blocks))
     right = _packed(vectors.filter(is_query), "block", blocks, "queries").withColumn("shard", numbers(shards))
-    found = left.join(right, ["dim", "block", "shard"]).select("block", "dim", "shard", "queries", "rows").mapInArrow(_tiles(k), _TILE)
+    found = left.hint("merge").join(right.hint("merge"), ["dim", "block", "shard"]).select("block", "dim", "shard", "queries", "rows").mapInArrow(_tiles(k), _TILE)
     while True:  # the tree has log(shards) levels
         found = (
             found.groupBy("block", "dim", "no", "query_id", F.floor(F.col("shard") / FAN_IN).alias("shard"))
