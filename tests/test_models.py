@@ -349,3 +349,87 @@ def test_nearest_centres_equal_plain_distances():
     for i, place, away in _nearest(np.ascontiguousarray(x.T), centres, cuts):
         plain = np.stack([((x - c) ** 2).sum(axis=1) for c in centres[cuts[i] : cuts[i + 1]]], axis=1)
         assert (place == plain.argmin(axis=1)).all() and (away == plain.min(axis=1)).all()
+
+
+def forest_rows(spark, n=1500, seed=8):
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, 5)), 2)
+    y = (rng.random(n) < 1 / (1 + np.exp(-3 * (x[:, 0] + x[:, 1] * x[:, 2])))).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"key": np.arange(n), "label": y, "x": x.tolist()}))
+    return df.select("key", "label", F.when(F.col("label") == 1, 2.0).otherwise(0.5).alias("weight"), array_to_vector("x").alias("features"))
+
+
+def test_own_forest_follows_sparks_rules(spark):
+    from tillroll.operators import forest
+
+    rows = forest_rows(spark)
+    train, held = rows.filter("key % 5 > 0"), rows.filter("key % 5 = 0")
+    model = classifiers.random_forest(0, trees=40)
+    assert forest.supports(model, [0.0, 1.0]) and not forest.supports(model, [0.0, 2.0])
+    assert not forest.supports(classifiers.decision_tree(), [0.0, 1.0]) and not forest.supports(model.copy({model.maxBins: 300}), [0.0, 1.0])
+    own, theirs = forest.fit_forest(train, model, "key"), model.fit(train)
+    nodes = np.mean([(t.left != np.arange(len(t.left))).sum() * 2 + 1 for t in own.trees])
+    assert nodes == pytest.approx(np.mean([t.numNodes for t in theirs.trees]), rel=0.15)
+    a = own.predict(held)
+    b = theirs.transform(held).withColumn("score", vector_to_array("probability")[1])
+    for got, want in zip(scores.classifier_metrics(a).first()[:4], scores.classifier_metrics(b).first()[:4]):
+        assert got == pytest.approx(want, abs=0.06)
+    again = forest.fit_forest(train.repartition(7), model, "key")
+    assert all((s.left == t.left).all() and (s.cut == t.cut).all() for s, t in zip(own.trees, again.trees))  # partitions don't matter
+
+
+def test_forest_splits_equal_brute_force():
+    from tillroll.operators import forest
+
+    rng = np.random.default_rng(4)
+    sizes, weights, fewest = np.array([4, 2, 6]), np.array([0.5, 2.0]), 3
+    x, y, w = np.stack([rng.integers(0, s, 200) for s in sizes]).astype(np.uint8), rng.integers(0, 2, 200), forest.draws(rng.integers(0, 2**62, 200).astype(np.uint64), 1, 0)
+    sub = np.array([[0, 2], [1, 2]])
+    node = rng.integers(0, 2, 200)
+    base, cells = forest._layout(sub, sizes)
+    count = np.zeros(2 * cells, np.int64)
+    for i in range(200):
+        for j in range(2):
+            count[2 * (base[node[i], j] + x[sub[node[i], j], i]) + y[i]] += w[i]
+
+    def gini(rows):
+        share = np.array([(w[rows] * (y[rows] == c)).sum() * weights[c] for c in (0, 1)])
+        return share.sum(), share.sum() - (share**2).sum() / max(share.sum(), 1e-9)
+
+    feature, cut, left, right = forest.best_splits(count, sub, sizes, weights, fewest)
+    for a in (0, 1):
+        mine, best = node == a, (0.0, None)
+        for f in sub[a]:
+            for c in range(sizes[f] - 1):
+                low, high = mine & (x[f] <= c), mine & (x[f] > c)
+                if w[low].sum() >= fewest and w[high].sum() >= fewest:
+                    best = max(best, ((gini(mine)[1] - gini(low)[1] - gini(high)[1]) / gini(mine)[0], (f, c, w[low].sum(), w[high].sum())))
+        assert best[1] == (feature[a], cut[a], left[a].sum(), right[a].sum())
+
+
+def test_forest_draws_and_cuts():
+    from tillroll.operators import forest
+
+    keys = np.random.default_rng(2).integers(0, 2**63, 100_000).astype(np.uint64)
+    a, b = forest.draws(keys, 42, 0).astype(float), forest.draws(keys, 42, 1).astype(float)
+    assert a.mean() == pytest.approx(1, abs=0.02) and a.var() == pytest.approx(1, abs=0.03) and abs(np.corrcoef(a, b)[0, 1]) < 0.02
+    assert forest.cuts_of(np.array([1.0, 1.0, 3.0, np.nan]), np.ones(4), 32).tolist() == [2.0]
+    assert len(forest.cuts_of(np.arange(1000.0), np.ones(1000), 32)) == 31
+    # Node 0 splits; both children vote for class 1 and become one leaf.
+    tree = forest.Tree(np.zeros(3, np.uint16), np.array([1, 255, 255], np.uint8), np.array([1, 1, 2], np.int32), np.array([[3, 7], [1, 3], [2, 4]]), np.zeros(0, np.int64))
+    forest._prune(tree, np.ones(2))
+    assert tree.left.tolist() == [0, 1, 2] and tree.cut[0] == 255
+
+
+def test_cross_validation_grows_its_own_forests(matrix, monkeypatch):
+    """Spark's forest passes over the rows took too long; features were prepared anew for each model."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    def refuse(*args):
+        raise AssertionError("Spark's forest")
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", refuse)
+    rows = classifiers.cross_validate(matrix.drop("is_test"), classifiers.random_forest, trees=5).collect()
+    assert [r.fold for r in rows] == ["1", "2", "3", "4", "5", "overall"] and all(0 <= r.accuracy <= 1 for r in rows[:5])

@@ -16,10 +16,11 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from tillroll.operators import forest
 from tillroll.operators.scaling import feature_stages, stratified_folds
 from tillroll.operators.scores import add_class_weight, classifier_metrics, confusion_matrix
 from tillroll.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SEED, TARGET
-from tillroll.session import pinned
+from tillroll.session import pinned, written
 
 CV_METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
@@ -144,21 +145,35 @@ def cross_validate_all(
 ) -> DataFrame:
     """Metrics of each model and fold, and an ``overall`` row with mean and population deviation for each model.
 
-    Feature preparation is refitted in every fold, so the held-out rows never shape it. All fits read one
-    written table with its folds, ``at_once`` of them side by side. ``settings`` are options of single models.
+    Feature preparation is refitted in every fold, so the held-out rows never shape it; all models read its
+    written features. ``at_once`` fits run side by side, one forest among them. ``settings`` are options of single models. Forests are
+    grown by ``forest``, with the settings and rules of Spark's estimator: its own passes take many times as long.
     """
     dealt = pinned(stratified_folds(df, target, key, folds, seed))
 
+    def prepare(i: int) -> tuple[DataFrame, DataFrame]:
+        train = labelled(dealt.filter(F.col("fold") != i), target)
+        held = dealt.filter(F.col("fold") == i).withColumn("label", F.col(target).cast("double"))
+        stages = Pipeline(stages=feature_stages(numeric, categorical)).fit(train)
+        return written(stages.transform(train).select(key, "label", "weight", "features")), written(stages.transform(held).select("label", "features"))
+
     def run(task: tuple[str, int]) -> tuple:
         name, i = task
-        own = {**options, **(settings or {}).get(name, {})}
-        fitted = fit(dealt.filter(F.col("fold") != i), models[name], target, numeric, categorical, **own)
-        got = evaluate(fitted, dealt.filter(F.col("fold") == i), target).first()
+        train, held = prepared[i]
+        model = models[name](train.count(), **{**options, **(settings or {}).get(name, {})})
+        if forest.supports(model, [r["label"] for r in train.select("label").distinct().collect()]):
+            scored = written(forest.fit_forest(train, model, key).predict(held))
+        else:
+            scored = model.fit(train).transform(held).withColumn("score", vector_to_array("probability")[1])
+        got = classifier_metrics(scored).first()
         return (name, str(i + 1), *[None if got[m] is None else float(got[m]) for m in CV_METRICS])
 
     spark = df.sparkSession
-    with ThreadPoolExecutor(at_once) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(run), [(name, i) for name in models for i in range(folds)]))
+    aside = {name for name in models if isinstance(models[name](1, **{**options, **(settings or {}).get(name, {})}), RandomForestClassifier)}
+    with ThreadPoolExecutor(at_once) as pool, ThreadPoolExecutor(1) as alone:  # one forest at a time, as the driver holds its trees
+        prepared = list(pool.map(inheritable_thread_target(spark)(prepare), range(folds)))
+        fits = [(alone if name in aside else pool).submit(inheritable_thread_target(spark)(run), (name, i)) for name in models for i in range(folds)]
+        rows = [f.result() for f in fits]
     table = spark.createDataFrame(rows, "model string, fold string, " + ", ".join(f"{m} double" for m in CV_METRICS))
     spread = []
     for m in CV_METRICS:
