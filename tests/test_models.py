@@ -433,3 +433,31 @@ def test_cross_validation_grows_its_own_forests(matrix, monkeypatch):
     monkeypatch.setattr(RandomForestClassifier, "_fit", refuse)
     rows = classifiers.cross_validate(matrix.drop("is_test"), classifiers.random_forest, trees=5).collect()
     assert [r.fold for r in rows] == ["1", "2", "3", "4", "5", "overall"] and all(0 <= r.accuracy <= 1 for r in rows[:5])
+
+
+def test_distance_sums_of_near_points_far_from_the_middle():
+    """Squares from a product lose the digits of near points; a value that is not finite must not spoil the others."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([1e6 + rng.normal(size=(3, 90)) * 1e-3, rng.normal(size=(3, 60))], axis=1)
+    y = np.concatenate([x[:, :90], 1e6 + rng.normal(size=(3, 500)), rng.normal(size=(3, 700)) * 1e-4], axis=1)
+    wx, wy = np.ones(150), rng.integers(1, 4, 1290).astype(float)
+    d = np.sqrt(((x[:, :, None] - y[:, None]) ** 2).sum(0))
+    ends = ((0, 90), (90, 590), (590, 1290))
+    to_y, to_x = segments.distance_sums(x, [0, 90, 150], wx, y, [0, 90, 590, 1290], wy)
+    assert to_y == pytest.approx(np.stack([d[:, a:b] @ wy[a:b] for a, b in ends], 1), rel=1e-9)
+    assert to_x == pytest.approx(np.stack([wx[a:b] @ d[a:b] for a, b in ((0, 90), (90, 150))], 1), rel=1e-9)
+    y[0, 3] = np.inf
+    far, _ = segments.distance_sums(x, [0, 90, 150], wx, y, [0, 90, 590, 1290], wy)
+    assert far[:, 1:] == pytest.approx(to_y[:, 1:], rel=1e-9)
+
+
+def test_euclidean_silhouette_takes_blocks_together(spark):
+    """Sums left a task, and points were sent, once for each block; now once for SPAN blocks."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 2)).round(3)
+    labels = rng.choice(["a", "b"], 3000)
+    df = spark.createDataFrame(pd.DataFrame({"x": x[:, 0], "y": x[:, 1], "label": labels}))
+    sent = segments._euclidean_silhouette(df, ["x", "y"], "label", rows_per_block=100)  # 30 blocks, 465 pairs
+    plan = sent._jdf.queryExecution().optimizedPlan().toString()
+    assert sent.first()[0] == pytest.approx(brute_silhouette(x, labels, False))
+    assert "RepartitionByExpression [low" in plan and ", 36" in plan.split("RepartitionByExpression [low")[1].split("\n")[0]
