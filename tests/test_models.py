@@ -409,6 +409,14 @@ def test_forest_splits_equal_brute_force():
         assert best[1] == (feature[a], cut[a], left[a].sum(), right[a].sum())
 
 
+def test_a_tree_without_draws_has_no_vote(spark):
+    from tillroll.operators import forest
+
+    one = forest_rows(spark, 50).filter("label = 1").limit(1)
+    fitted = forest.fit_forest(one, classifiers.random_forest(0, trees=8), "key")
+    assert 0 < sum(t.count[0].any() for t in fitted.trees) < 8 and fitted.predict(one).first().score == 1
+
+
 def test_forest_draws_and_cuts():
     from tillroll.operators import forest
 

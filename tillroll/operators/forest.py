@@ -225,14 +225,15 @@ class Forest:
         cuts, depth = self.cuts, self.depth
         trees = []
         for tree in self.trees:
-            weighed = tree.count * self.weights
-            trees.append((replace(tree, count=tree.count[:0]), weighed[:, 1] / np.maximum(weighed.sum(axis=1), 1e-300)))
+            if tree.count[0].any():  # a tree that drew no row has no vote
+                weighed = tree.count * self.weights
+                trees.append((replace(tree, count=tree.count[:0]), weighed[:, 1] / weighed.sum(axis=1)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = _binned(_vectors(batch, len(cuts)), cuts)
                 rows = np.arange(x.shape[1])
-                score = sum((share[tree.place(x, rows, depth)] for tree, share in trees), np.zeros(len(rows))) / len(trees)
+                score = sum((share[tree.place(x, rows, depth)] for tree, share in trees), np.zeros(len(rows))) / max(len(trees), 1)
                 yield pa.RecordBatch.from_arrays([batch["label"], pa.array((score > 0.5).astype(float)), pa.array(score)], ["label", "prediction", "score"])
 
         return df.select("label", vector_to_array(features).alias("x")).mapInArrow(run, "label double, prediction double, score double")
